@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mix, url_filter
+from . import decontaminate, mix, shard, url_filter
 
-_MODULES = (decontaminate, mix, url_filter)
+_MODULES = (decontaminate, mix, shard, url_filter)
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
