@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, mix, shard, url_filter
+from . import decontaminate, license_scan, mix, near_dedup, shard, url_filter
 
-_MODULES = (decontaminate, mix, license_scan, url_filter, shard)
+_MODULES = (decontaminate, mix, near_dedup, license_scan, url_filter, shard)
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLE_SQL = {name: sql for m in _MODULES for name, sql in m.ORACLE_SQL.items()}
