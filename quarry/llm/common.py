@@ -114,6 +114,11 @@ class _Powers:
 _powers = _Powers()
 
 
+def powers(n: int) -> np.ndarray:
+    """The first n powers of RADIX."""
+    return _powers.upto(n)[0]
+
+
 class Tokens(NamedTuple):
     """Words of some texts: byte spans in ``data``, hashes of the lower-cased words, and ``first[i]:first[i+1]`` for text i."""
 
