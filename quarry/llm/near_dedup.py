@@ -3,15 +3,17 @@
 1. Sketch.  A document's set of word shingles gives ``REGISTERS`` registers: each hash function's minimum over the set,
    as an exponential variate, on a scale of powers of ``BASE``.  Registers merge by maximum.  Documents with equal sets
    are one node from here on, so copies cost no pairs.
-2. Candidates.  ``BAND`` registers make a band; nodes that agree in a band meet in a bucket.  A bucket links each member
-   with its smallest one, not all pairs: the count is linear in the bucket.
+2. Candidates.  ``BAND`` registers make a band; nodes that agree in a band meet in a bucket.  A bucket pairs each member
+   with its centre alone, so the count is linear in the bucket.  The centre is the member that meets most others in all
+   of its buckets: of a group of altered copies, the one that is altered least.
 3. Estimate.  For a pair, the counts of registers that are larger, smaller or equal, together with both sizes, give the
    maximum-likelihood Jaccard similarity; pairs far below the threshold go.
 4. Verify.  What is left is decided on the full sets, exactly.
 5. Components.  Verified links join nodes by distributed minimum-label hooking with pointer jumping.
-6. The rest.  A bucket whose members are then in several components is gone through again: members in different
-   components are paired, but for pairs already tested.  So every link between nodes that meet in any bucket is found,
-   with no cap on bucket or partners.
+6. The rest.  Where the members around a centre are then in several components, those outside the centre's component are
+   compared with all members in other components, in blocks of ``BLOCK`` by ``BLOCK`` whose intersections are matrix
+   products.  A block's task holds two blocks of sets and returns links only.  So every link between nodes that meet in
+   any bucket is found, with no cap on bucket or partners.
 
 At similarity 0.8 a pair misses all 48 bands with a probability below 1e-6, and the estimate's margin is five standard
 deviations.  Texts are read twice and never shuffled; sets are shuffled for candidates only.  A fixed-size bitmap picks
@@ -25,7 +27,7 @@ empty report.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,8 @@ REGISTERS = BAND * BANDS
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 1
 #: Five standard deviations of the estimate at similarity 0.8.
 MARGIN = 0.12
+#: Nodes in a block of those compared at last.
+BLOCK = 128
 
 _rng = np.random.default_rng(77)
 FACTORS = _rng.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -198,6 +202,59 @@ def _verified(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(verify, "a bigint, b bigint")
 
 
+def _shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections between two lists of sets, as products of incidence matrices."""
+    every, at = np.unique(np.concatenate(a + b), return_inverse=True)
+    row = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in a + b])
+    out = np.zeros((len(a), len(b)), np.float32)
+    for low in range(0, len(every), 1 << 13):
+        part = (at >= low) & (at < low + (1 << 13))
+        incident = np.zeros((len(a) + len(b), 1 << 13), np.float32)
+        incident[row[part], at[part] - low] = 1
+        out += incident[: len(a)] @ incident[len(a) :].T
+    return out.astype(np.int64)
+
+
+def _linked_blocks(percent: int) -> Callable[[tuple[pa.Scalar, ...], pa.Table], pa.Table]:
+    """The links between the two sides of a unit (or within its one side), between different components."""
+
+    def link(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        side, node, comp, n = (rows[c].to_numpy() for c in ("side", "node", "comp", "n"))
+        sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"].to_pylist()]
+        left = np.flatnonzero(side == 0)
+        right = np.flatnonzero(side == 1) if (side == 1).any() else left
+        shared = _shared([sets[x] for x in left], [sets[x] for x in right]) if len(left) else np.zeros((0, len(right)), np.int64)
+        joint = n[left][:, None] + n[right][None, :] - shared
+        x, y = np.nonzero((100 * shared >= percent * joint) & (comp[left][:, None] != comp[right][None, :]))
+        a, b = node[left[x]], node[right[y]]
+        return pa.Table.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return link
+
+
+def _remaining_links(around: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Links between nodes of different components among those around a centre.  ``around``: centre, node, comp, home (the
+    centre's component)."""
+    outer = F.col("comp") != F.col("home")
+    counts = around.groupBy("centre").agg(F.count_if(outer).alias("n_outer"), F.count_if(~outer).alias("n_home")).filter("n_outer > 0")
+    blocks = [F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_outer", "n_home")]
+    rows = around.join(counts, "centre").withColumns({"outer": outer, "outers": blocks[0], "homes": blocks[1]})
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("outer"), F.col("outers")).otherwise(F.col("homes"))).cast("int"))
+
+    def units(n: Column, f: Callable[[Column], list[Column]]) -> Column:
+        named = lambda k: F.struct(*(c.cast("int").alias(x) for c, x in zip(f(k), ("kind", "i", "j", "side"), strict=True)))
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), named)).otherwise(F.array())
+
+    own, zero, one = F.col("own"), F.lit(0), F.lit(1)
+    with_home = units(F.col("homes"), lambda k: [zero, own, k, zero])
+    with_outer = units(F.col("outers"), lambda k: [one, F.least(own, k), F.greatest(own, k), (k < own).cast("int")])
+    of_home = units(F.col("outers"), lambda k: [zero, k, own, one])
+    placed = rows.withColumn("units", F.when(F.col("outer"), F.concat(with_home, with_outer)).otherwise(of_home))
+    dealt = placed.join(known.select("node", "n", "shingles"), "node").select("centre", F.explode("units").alias("u"), "node", "comp", "n", "shingles")
+    keyed = dealt.select("centre", "u.kind", "u.i", "u.j", "u.side", "node", "comp", "n", "shingles")
+    return keyed.groupBy("centre", "kind", "i", "j").applyInArrow(_linked_blocks(percent), "a bigint, b bigint").distinct()
+
+
 def connected(links: DataFrame) -> DataFrame:
     """``node, comp``: the smallest node reachable over the links ``a, b``, for nodes that have links."""
     edges = C.cut(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
@@ -222,9 +279,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = C.cut(classes.withColumn("node", F.monotonically_increasing_id()))
 
     rows = _bucket_rows(nodes)
-    crowded = rows.groupBy("bucket").agg(F.min("node").alias("least"), F.count("*").alias("members")).filter("members > 1")
-    members = C.cut(rows.join(crowded, "bucket").select("bucket", "node", "least", "members"))
-    pairs = C.cut(members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
+    crowded = rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
+    crowds = C.cut(rows.join(crowded, "bucket").select("bucket", "node", "members"))
+    scored = crowds.join(crowds.groupBy("node").agg(F.sum("members").alias("met")), "node")
+    centres = scored.groupBy("bucket").agg(F.max(F.struct("met", "node")).alias("top")).select("bucket", F.col("top.node").alias("centre"))
+    members = C.cut(scored.join(centres, "bucket").select("bucket", "node", "members", "centre", F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")))
+    pairs = C.cut(members.filter("a < b").select("a", "b").distinct())
     met = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = C.cut(nodes.join(met, "node").select("f1", "f2", "node", "n", "registers"))
     known = C.cut(wanted.join(_sets(docs, text_col, C.hash_bitmap(wanted, "f1"), shingle, word_class), ["f1", "f2"]).select("node", "n", "registers", "shingles"))
@@ -233,11 +293,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     placed = members.filter("members > 2").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     split = placed.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("bucket")
-    open_rows = C.cut(placed.join(split, "bucket").filter("node <> least").select("bucket", "node", "comp"))
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")))
-    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = C.cut(_verified(C.cut(rest), known, percent))
+    around = placed.join(split, "bucket").filter("node <> centre").select("centre", "node", "comp").distinct()
+    homes = comps.select(F.col("node").alias("centre"), F.col("comp").alias("home"))
+    around = C.cut(around.join(homes, "centre", "left").withColumn("home", F.coalesce("home", "centre")))
+    more = C.cut(_remaining_links(around, known, percent))
     if more.limit(1).count():
         comps = connected(links.unionAll(more))
 
