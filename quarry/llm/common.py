@@ -66,6 +66,24 @@ def bounded_broadcast(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def matched(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
+    """``docs`` semi- or anti-joined with ``found`` (``id``, ``text_key``: a hash of the text); null ids match each other."""
+    i, k = fresh(docs, "id_found", "key_found")
+    found = found.select(F.col("id").alias(i), F.col("text_key").alias(k))
+    return docs.join(found, docs[id_col].eqNullSafe(F.col(i)) & (F.xxhash64(docs[text_col]) == F.col(k)), how)
+
+
 # ---------------------------------------------------------------- hashing
 
 _RNG = np.random.default_rng(20240229)

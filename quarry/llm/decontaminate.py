@@ -168,8 +168,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``decontaminate`` doesn't call contaminated."""
-    bad = decontaminate(docs, benchmark, id_col, text_col, **options).filter("contaminated").select(F.col(id_col).alias("__id"), F.col("text_key").alias("__key")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["__id"]) & (F.xxhash64(docs[text_col]) == bad["__key"]), "left_anti")
+    bad = decontaminate(docs, benchmark, id_col, text_col, **options).filter("contaminated").select(F.col(id_col).alias("id"), "text_key").distinct()
+    return C.matched(docs, bad, id_col, text_col, "left_anti")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

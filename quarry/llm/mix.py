@@ -142,11 +142,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: rows of ``docs`` with all their columns, each as often as it is taken.  Rows with the same id, source
     and text stand for each other; one of them is repeated."""
-    mix = mix_sources(docs, id_col, text_col, source_col, **options).select(F.col("u1").alias("__u1"), F.col("u2").alias("__u2"), F.col("copies").alias("__copies")).filter("__copies > 0")
+    k1, k2, times, copy = C.fresh(docs, "u1", "u2", "copies", "copy")
+    mix = mix_sources(docs, id_col, text_col, source_col, **options).select(F.col("u1").alias(k1), F.col("u2").alias(k2), F.col("copies").alias(times)).filter(F.col(times) > 0)
     u1, u2 = _keys(docs, id_col, source_col, text_col)
-    whole = docs.withColumns({"__u1": u1, "__u2": u2}).dropDuplicates(["__u1", "__u2"])
-    taken = whole.join(mix, ["__u1", "__u2"])
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies")))).select(*docs.columns)
+    taken = docs.withColumns({k1: u1, k2: u2}).dropDuplicates([k1, k2]).join(mix, [k1, k2])
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times)))).select(*docs.columns)
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

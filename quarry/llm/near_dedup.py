@@ -311,11 +311,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with all their columns, one row of each component: that with the component's id (of several, one of them).
     Rows without words, and those without an id whose component has none, all stay but for repeated rows."""
-    found = near_duplicates(docs, id_col, text_col, **options).filter("kept").select(F.col(id_col).alias("__id"), F.col("text_key").alias("__key"), F.col("n_shingles").alias("__n"))
-    whole = found.groupBy("__id", F.when((F.col("__n") == 0) | F.col("__id").isNull(), F.col("__key")).alias("__own")).agg(F.min("__key").alias("__key"))
-    key: Column = F.xxhash64(text_col)
-    kept = docs.withColumn("__text_key", key).join(whole.drop("__own"), docs[id_col].eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left_semi")
-    return kept.dropDuplicates([id_col, "__text_key"]).select(*docs.columns)
+    found = near_duplicates(docs, id_col, text_col, **options).filter("kept").select(F.col(id_col).alias("id"), "text_key", "n_shingles")
+    alone = (F.col("n_shingles") == 0) | F.col("id").isNull()
+    whole = found.groupBy("id", F.when(alone, F.col("text_key")).alias("own")).agg(F.min("text_key").alias("text_key"))
+    (key,) = C.fresh(docs, "text_key")
+    kept = C.matched(docs, whole, id_col, text_col, "left_semi").withColumn(key, F.xxhash64(text_col))
+    return kept.dropDuplicates([id_col, key]).drop(key)
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
