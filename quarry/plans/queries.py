@@ -245,13 +245,13 @@ SQL_FLAGS = f"""list_filter([CASE WHEN format = 'GIF' THEN 'unexpected_format' E
     CASE WHEN {SQL_RATIO.replace('w / h', 'w::DOUBLE / h::DOUBLE')} IS NULL THEN 'non_native_aspect_ratio' END, CASE WHEN format = 'JPEG' AND q > 40.0 THEN 'high_compression' END], lambda x: x IS NOT NULL)"""
 
 
-@query(f"SELECT l_orderkey, l_linenumber, array_to_string(flags, ',') AS flags, len(flags) = 0 AS structural_passed, round(size * 8.0::DOUBLE / (w * h), 9) AS bpp FROM (SELECT *, {SQL_FLAGS} AS flags FROM ({SQL_SIZED}))")
+@query(f"SELECT l_orderkey, l_linenumber, array_to_string(flags, ',') AS flags, len(flags) = 0 AS structural_passed, size::DOUBLE * 8.0::DOUBLE / (w * h)::DOUBLE AS bpp FROM (SELECT *, {SQL_FLAGS} AS flags FROM ({SQL_SIZED}))")
 def structural_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     fmt = F.when(F.col("l_linenumber") % 4 == 0, "PNG").when(F.col("l_linenumber") % 4 == 1, "GIF").otherwise("JPEG")
     sized = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr(W).alias("width"), F.expr(H).alias("height"), F.floor("l_extendedprice").alias("file_size"), fmt.alias("format"),
                                                     F.col("l_quantity").alias("avg_quantization"), F.array().cast("array<string>").alias("camera_exif_tags"), F.lit(True).alias("opened"))
     flagged = validate.structural(sized, GROK)
-    return flagged.select("l_orderkey", "l_linenumber", F.array_join("flags", ",").alias("flags"), "structural_passed", F.round("bpp", 9).alias("bpp"))
+    return flagged.select("l_orderkey", "l_linenumber", F.array_join("flags", ",").alias("flags"), "structural_passed", "bpp")
 
 
 DOC_W, DOC_H = "(700 + (n_chars * 7) % 2500)", "(700 + (n_chars * 3 + doc_id * 16) % 2100)"
