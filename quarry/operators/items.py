@@ -36,6 +36,14 @@ def one_of_each(items: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return items.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter("__n = 1").drop("__n")
 
 
+def new_items(candidates: DataFrame, manifest: DataFrame, order: Sequence[str], min_pixels: int = 200_000) -> DataFrame:
+    """Candidates (url, content_hash, width, height) to be taken: neither URL nor content in the manifest, the first of each
+    content among them, and not too small."""
+    fresh = unseen(unseen(candidates, manifest, "url"), manifest, "content_hash")
+    firsts = first_arrivals(fresh, "url", "content_hash", order).filter("outcome = 'ok'").drop("outcome")
+    return firsts.filter(large_enough(F.col("width").cast("bigint") * F.col("height"), min_pixels))
+
+
 def large_enough(pixels: Column, least: int) -> Column:
     """Items of too few pixels go; those that couldn't be decoded (0) stay."""
     return (pixels == 0) | (pixels >= least)

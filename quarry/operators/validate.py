@@ -89,6 +89,11 @@ def decide(items: DataFrame, captions: DataFrame, scores: DataFrame, relaxed: bo
     return out.withColumn("state", state).drop("__rejects", "__captioned", "__scored", "__any_caption")
 
 
+def failures_first(flagged: DataFrame) -> DataFrame:
+    """Results for reading: what failed, then the rest, by name."""
+    return flagged.orderBy("structural_passed", "filename")
+
+
 def reset(items: DataFrame) -> DataFrame:
     """Decided images go back to staging."""
     again = F.col("state").isin("images", "rejected") & F.lower(F.regexp_extract("filename", r"\.[^.]+$", 0)).isin(*SUFFIXES)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quarry import schemas
 from quarry.functions import text
 from quarry.functions.text import filled, first_filled
+from quarry.operators.items import combinations
 
 CIVITAI_CDN = "https://image.civitai.com/xG1nkqKTMzGDvpLrqFT7WA"
 YODAYO_CDN = "https://photos.yodayo.com"
@@ -171,3 +172,41 @@ def twitter(images: DataFrame, searched: bool = True, account: str = "") -> Data
 
 
 CONNECTORS: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (civitai, civitai_simple, higgsfield, reddit, midjourney, tensorart, yodayo, openart, aigcarena, freepik, grok_imagine, recraft, instagram, twitter)}
+
+# ---------------------------------------------------------------- what is asked of a source
+
+# Models, their image types, sort orders and time windows.
+RECRAFT_MODELS = "recraftv3 recraftv4 recraftv4_raster recraftv4_pro_raster".split()
+RECRAFT_TYPES = (
+    "realistic_image realistic_image_b_and_w realistic_image_enterprise realistic_image_evening_light realistic_image_faded_nostalgia realistic_image_forest_life "
+    "realistic_image_hard_flash realistic_image_hdr realistic_image_motion_blur realistic_image_mystic_naturalism realistic_image_natural_light realistic_image_natural_tones "
+    "realistic_image_organic_calm realistic_image_real_life_glow realistic_image_retro_realism realistic_image_retro_snapshot"
+).split()
+REDDIT_LISTS = ("new hot top rising".split(), "all year month week".split())
+REDDIT_SEARCHES = ("relevance new top".split(), "all year month".split())
+
+
+def _values(spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame:
+    return spark.createDataFrame([(v,) for v in values], f"{name} string")
+
+
+def recraft_queries(spark: SparkSession) -> DataFrame:
+    """``model, image_type``: all realistic types of the third version, any type of the later ones."""
+    granular = F.col("model") == RECRAFT_MODELS[0]
+    return combinations(_values(spark, "model", RECRAFT_MODELS), _values(spark, "image_type", [*RECRAFT_TYPES, "any"]), granular != (F.col("image_type") == "any"))
+
+
+def reddit_queries(spark: SparkSession, subreddits: Sequence[str], searches: Sequence[str]) -> DataFrame:
+    """``kind, target, sort, window`` of all listings and searches."""
+
+    def every(kind: str, targets: Sequence[str], sorts: Sequence[str], windows: Sequence[str]) -> DataFrame:
+        both = combinations(_values(spark, "target", targets), combinations(_values(spark, "sort", sorts), _values(spark, "window", windows)))
+        return both.select(F.lit(kind).alias("kind"), "target", "sort", "window")
+
+    return every("list", subreddits, *REDDIT_LISTS).unionByName(every("search", searches, *REDDIT_SEARCHES))
+
+
+def target_channels(channels: DataFrame, pattern: str, names: Sequence[str] = ()) -> DataFrame:
+    """Text channels (``id, type, name``) whose name has the pattern and is among ``names``, if given; by name."""
+    found = channels.filter((F.col("type") == 0) & filled(F.col("name")).rlike(pattern))
+    return (found.filter(F.col("name").isin(*names)) if names else found).orderBy("name", "id")

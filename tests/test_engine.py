@@ -242,6 +242,22 @@ def test_simple_listing_and_tiers(spark, tmp_path):
     assert {r.username: r.tier for r in listings.account_tiers(tiers).collect()} == {"a": "top", "b": "mid", "c": "mid"}
 
 
+def test_queries_asked(spark):
+    assert listings.recraft_queries(spark).count() == 19
+    assert listings.reddit_queries(spark, ["a", "b"], ["q"]).groupBy("kind").count().orderBy("kind").collect() == [("list", 32), ("search", 9)]
+    channels = spark.createDataFrame([("1", 0, "general-2"), ("2", 0, "general-1"), ("3", 2, "general-3"), ("4", 0, None), ("5", 0, "news")], "id string, type int, name string")
+    assert [r.id for r in listings.target_channels(channels, r"general-\d").collect()] == ["2", "1"]
+    assert [r.id for r in listings.target_channels(channels, "general", ["general-2"]).collect()] == ["1"]
+
+
+def test_new_items(spark):
+    schema = "i int, url string, content_hash string, width int, height int"
+    manifest = spark.createDataFrame([(0, "u0", "h0", 9, 9)], schema)
+    rows = [(1, "u0", "h1", 900, 900), (2, "u1", "h0", 900, 900), (3, "u2", "h2", 900, 900), (4, "u3", "h2", 900, 900), (5, "u4", "h4", 10, 10), (6, "u5", "h5", 0, 0)]
+    got = items.new_items(spark.createDataFrame(rows, schema), manifest, ["i"])
+    assert sorted(r.i for r in got.collect()) == [3, 6] and got.columns == manifest.columns or set(got.columns) == set(manifest.columns)
+
+
 def test_files(spark, tmp_path):
     row = {c.split()[0]: "" for c in schemas.MANIFEST.split(", ")} | {"filename": "a.png", "post_title": 'he said "x",\nand left', "width": "10"}
     df = spark.createDataFrame([tuple(row.values())], schemas.MANIFEST)
