@@ -31,6 +31,8 @@ from . import common as C
 ORDER = 4
 SAMPLE = 400
 LONGEST = 200_000
+#: Languages up to which the table of their counts is broadcast: one short row each.
+BROADCAST_LANGUAGES = 10_000
 #: Probability of a symbol that no training text has, spread over this many.
 ALPHABET = 1 << 14
 #: Every fifth sampled text calibrates; a text may be this much above the quantile.
@@ -154,7 +156,8 @@ def cross_entropies(models: list[Model], data: np.ndarray, at: np.ndarray) -> tu
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, longest: int = LONGEST) -> list[Model]:
     """Models of the languages in ``labelled`` (null texts and languages don't count), by name."""
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL").filter(F.octet_length("text") <= longest).withColumn("key", F.xxhash64("text"))
-    counts = rows.groupBy("lang", "key").count().groupBy("lang").agg(F.count("*").alias("texts"))
+    counts = C.cut(rows.groupBy("lang", "key").count().groupBy("lang").agg(F.count("*").alias("texts")))
+    counts = C.bounded_broadcast(counts, counts.count(), BROADCAST_LANGUAGES)
     drawn = F.shiftrightunsigned("key", 11).cast("double") * F.lit(2.0**-53) * F.col("texts") < sample
     picked = rows.join(counts, "lang").filter(drawn).dropDuplicates(["lang", "key"]).select("lang", "key", "text")
 
@@ -218,8 +221,8 @@ def learned_from(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` with all their columns, without the rows that are rejected by models learned from their own labelled rows."""
     models = train(learned_from(docs, id_col), text_col, lang_col)
-    bad = identify(docs, models, id_col, text_col).filter("rejected").select(F.col(id_col).alias("__id"), F.coalesce("text_key", F.lit(0)).alias("__key")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["__id"]) & (F.coalesce(F.xxhash64(docs[text_col]), F.lit(0)) == bad["__key"]), "left_anti")
+    bad = identify(docs, models, id_col, text_col).filter("rejected").select(F.col(id_col).alias("id"), "text_key").distinct()
+    return C.matched(docs, bad, id_col, text_col, "left_anti")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
