@@ -6,8 +6,10 @@ Texts are handled as the UTF-8 bytes Arrow holds, without a Python object for a
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -17,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 20
+#: Short rows (two keys and a count) up to which a table of decisions is broadcast.
+BROADCAST_ROWS = 500_000
 M64 = (1 << 64) - 1
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -31,8 +35,18 @@ SQL_SPACED = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPP
 # ---------------------------------------------------------------- session
 
 
+def importable(spark: SparkSession) -> None:
+    """In local mode, lets Python workers find this package wherever the driver was started.  (On a cluster it is deployed with
+    the job, as any package.)"""
+    context, root = spark.sparkContext, str(Path(__file__).resolve().parents[2])
+    paths = context.environment.get("PYTHONPATH", "")
+    if context.master.startswith("local") and root not in paths.split(os.pathsep):
+        context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: what the session names, else (tests, local mode) a new local one."""
+    importable(spark)
     sc = spark.sparkContext
     found = sc._jsc.sc().getCheckpointDir()
     if found.isDefined():
@@ -53,6 +67,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -77,11 +92,15 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def matched(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
-    """``docs`` semi- or anti-joined with ``found`` (``id``, ``text_key``: a hash of the text); null ids match each other."""
+def matched(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, how: str, *more: str) -> DataFrame:
+    """``docs`` joined with ``found`` (``id``, ``text_key``: a hash of the text, each pair once); null ids match each other.
+
+    Up to ``BROADCAST_ROWS`` rows found are broadcast, so that no text is shuffled.  An inner join brings the columns ``more``.
+    """
+    found = cut(found)
     i, k = fresh(docs, "id_found", "key_found")
-    found = found.select(F.col("id").alias(i), F.col("text_key").alias(k))
-    return docs.join(found, docs[id_col].eqNullSafe(F.col(i)) & (F.xxhash64(docs[text_col]) == F.col(k)), how)
+    near = bounded_broadcast(found.select(F.col("id").alias(i), F.col("text_key").alias(k), *more), found.count(), BROADCAST_ROWS)
+    return docs.join(near, docs[id_col].eqNullSafe(F.col(i)) & (F.xxhash64(docs[text_col]) == F.col(k)), how)
 
 
 # ---------------------------------------------------------------- hashing

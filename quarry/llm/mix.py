@@ -142,10 +142,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: rows of ``docs`` with all their columns, each as often as it is taken.  Rows with the same id, source
     and text stand for each other; one of them is repeated."""
-    k1, k2, times, copy = C.fresh(docs, "u1", "u2", "copies", "copy")
-    mix = mix_sources(docs, id_col, text_col, source_col, **options).select(F.col("u1").alias(k1), F.col("u2").alias(k2), F.col("copies").alias(times)).filter(F.col(times) > 0)
+    k1, k2, times, rows, copy = C.fresh(docs, "u1", "u2", "copies", "rows", "copy")
+    mix = mix_sources(docs, id_col, text_col, source_col, **options).filter("copies > 0")
+    mix = C.cut(mix.select(F.col("u1").alias(k1), F.col("u2").alias(k2), F.col("copies").alias(times), F.col("rows").alias(rows)))
     u1, u2 = _keys(docs, id_col, source_col, text_col)
-    taken = docs.withColumns({k1: u1, k2: u2}).dropDuplicates([k1, k2]).join(mix, [k1, k2])
+    found = docs.withColumns({k1: u1, k2: u2}).join(C.bounded_broadcast(mix, mix.count(), C.BROADCAST_ROWS), [k1, k2])
+    # only rows that are repeated have to meet, to leave one
+    taken = found.filter(F.col(rows) == 1).unionAll(found.filter(F.col(rows) > 1).dropDuplicates([k1, k2]))
     return taken.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times)))).select(*docs.columns)
 
 

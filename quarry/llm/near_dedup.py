@@ -313,10 +313,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows without words, and those without an id whose component has none, all stay but for repeated rows."""
     found = near_duplicates(docs, id_col, text_col, **options).filter("kept").select(F.col(id_col).alias("id"), "text_key", "n_shingles")
     alone = (F.col("n_shingles") == 0) | F.col("id").isNull()
-    whole = found.groupBy("id", F.when(alone, F.col("text_key")).alias("own")).agg(F.min("text_key").alias("text_key"))
-    (key,) = C.fresh(docs, "text_key")
-    kept = C.matched(docs, whole, id_col, text_col, "left_semi").withColumn(key, F.xxhash64(text_col))
-    return kept.dropDuplicates([id_col, key]).drop(key)
+    times, key = C.fresh(docs, "times", "text_key")
+    texts = found.groupBy("id", "text_key", F.when(alone, F.col("text_key")).alias("own")).agg(F.count("*").alias(times))
+    first = texts.groupBy("id", "own").agg(F.min(F.struct("text_key", times)).alias("first")).select("id", "first.*")
+    kept = C.matched(docs, first, id_col, text_col, "inner", times).withColumn(key, F.xxhash64(text_col))
+    # only rows that are repeated have to meet, to leave one
+    repeated = kept.filter(F.col(times) > 1).dropDuplicates([id_col, key])
+    return kept.filter(F.col(times) == 1).unionAll(repeated).select(*(docs[c] for c in docs.columns))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

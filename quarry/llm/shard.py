@@ -68,6 +68,7 @@ def _shuffled(seed: int, columns: list[str]) -> Callable[[tuple[pa.Scalar, ...],
 
 def shard_documents(docs: DataFrame, n_shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", seed: int = 29, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``docs`` with ``shard`` (int) and ``slot`` (long), each bucket's rows together and in order."""
+    C.importable(docs.sparkSession)
     kept = [c for c in docs.columns if c not in OWN]
     key, text = F.col(id_col), F.col(text_col)
     order, tie = F.xxhash64(F.lit(seed), key, text), F.xxhash64(key.isNull(), text, key)
