@@ -27,10 +27,10 @@ def bits_per_pixel(size: Column, w: Column, h: Column) -> Column:
 def known_ratio(w: Column, h: Column, ratios: Sequence[tuple[float, float]], tolerance: float) -> Column:
     """The label of the first known ratio within the tolerance; null if there is none, or a side is 0."""
     x = F.when((w != 0) & (h != 0), aspect(w, h))
-    out = F.lit(None).cast("string")
-    for rw, rh in reversed(ratios):
+    out = F.when(x.isNull(), F.lit(None).cast("string"))
+    for rw, rh in ratios:
         expected = F.lit(rw) / F.lit(rh)
-        out = F.when(F.abs(x - expected) / expected <= F.lit(tolerance), ratio_label(rw, rh)).otherwise(out)
+        out = out.when(F.abs(x - expected) / expected <= F.lit(tolerance), ratio_label(rw, rh))
     return out
 
 

@@ -17,25 +17,29 @@ def whole_word(word: str) -> str:
     return BEFORE + re.sub(r"([^\w\s])", r"\\\1", word) + AFTER
 
 
+def has_word(text: Column, word: str) -> Column:
+    """Whether ``word`` stands in ``text`` as a whole word; the pattern is only tried where the plain search finds it."""
+    return text.contains(word) & text.rlike(whole_word(word))
+
+
 def words_found(text: Column, words: Sequence[str]) -> Column:
     """Those of ``words`` that stand in ``text`` as whole words, in their own order.  ``text`` is lower-cased already."""
-    return F.array_compact(F.array(*(F.when(text.rlike(whole_word(w)), F.lit(w)) for w in words))) if words else F.array().cast("array<string>")
+    return F.array_compact(F.array(*(F.when(has_word(text, w), F.lit(w)) for w in words))) if words else F.array().cast("array<string>")
 
 
 def any_word(text: Column, words: Sequence[str]) -> Column:
-    """Whether any of ``words`` stands in ``text`` as a whole word: one pattern for all."""
-    return text.rlike(BEFORE + "(" + "|".join(re.sub(r"([^\w\s])", r"\\\1", w) for w in words) + ")" + AFTER) if words else F.lit(False)
+    """Whether any of ``words`` stands in ``text`` as a whole word."""
+    out = F.lit(False)
+    for w in words:
+        out = out | has_word(text, w)
+    return out
 
 
 def reject_signals(caption: Column, reject: Sequence[str], paired: Sequence[str] = (), indicators: Sequence[str] = ()) -> Column:
-    """Reject words of a caption; words of ``paired`` count only beside an indicator.
-
-    One pattern with all the words comes first, so that a caption without any of them costs one search.
-    """
+    """Reject words of a caption; words of ``paired`` count only beside an indicator."""
     text = F.lower(F.coalesce(caption, F.lit("")))
-    none = F.array().cast("array<string>")
-    strong = F.when(any_word(text, reject), words_found(text, reject)).otherwise(none)
-    weak = F.when(any_word(text, paired) & any_word(text, indicators), words_found(text, paired)).otherwise(none)
+    strong = words_found(text, reject)
+    weak = F.when(any_word(text, indicators), words_found(text, paired)).otherwise(F.array().cast("array<string>")) if paired and indicators else F.array().cast("array<string>")
     return F.concat(strong, weak)
 
 
