@@ -2,9 +2,10 @@
 
 A table's hash of a unit vector is the signed axis nearest to it after a pseudo-rotation: three rounds of random signs and
 a fast Hadamard transform.  ``k`` such axes make a bucket; k grows with the number of vectors, so that buckets keep their
-size.  Every vector is in one bucket of each of ``TABLES`` tables; a query probes the ``PROBES`` buckets of each table
-whose axes are nearest to it.  Its candidates are ranked exactly, by the inner product of the original vectors in double
-precision.
+size.  Every vector is in one bucket of each of ``TABLES`` tables; a query probes those buckets of each table whose axes
+are nearest to it, ``PROBES`` or more.  How many follows from the data: up to ``SAMPLED`` queries are answered by a scan of
+all vectors, and the probes are as many as reach the share ``REACHED`` of what they should find.  Candidates are ranked
+exactly, by the inner product of the original vectors in double precision.
 
 Vectors of different lengths get one more coordinate that fills them up to the longest, so that the largest inner product
 is the nearest direction (queries have 0 there); its scale is the one thing fitted, an aggregate over all rows.
@@ -19,6 +20,9 @@ dimensions take no part.  Of rows with the same id the smallest vector counts, o
 
 from __future__ import annotations
 
+import functools
+import itertools
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,6 +38,10 @@ ALL = 4096
 #: Vectors that a bucket has on average, at most.
 BUCKET = 8192
 BROADCAST_BUCKETS = 500_000
+#: Queries that are answered by a scan to set the probes, and the share of their neighbours that these must reach.
+SAMPLED, REACHED = 128, 0.95
+#: Rows of a batch that a query's probes make, about.
+EMITTED = 1 << 14
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -71,14 +79,72 @@ def nearest_buckets(x: np.ndarray, table: int, k: int, probes: int) -> np.ndarra
         best = np.argsort(-value, axis=1, kind="stable")[:, : min(probes, axes)]
         near = np.take_along_axis(value, best, axis=1)
         if part:
-            near = (score[:, :, None] + near[:, None, :]).reshape(len(x), -1)  # noqa: F821
-            best = (code[:, :, None] * axes + best[:, None, :]).reshape(len(x), -1)  # noqa: F821
+            # of two sorted lists, only these places can be among the first sums
+            i, j = np.nonzero(np.outer(np.arange(1, code.shape[1] + 1), np.arange(1, best.shape[1] + 1)) <= probes)  # noqa: F821
+            near = score[:, i] + near[:, j]  # noqa: F821
+            best = code[:, i] * axes + best[:, j]  # noqa: F821
             order = np.argsort(-near, axis=1, kind="stable")[:, :probes]
             best, near = np.take_along_axis(best, order, axis=1), np.take_along_axis(near, order, axis=1)
         score, code = near, best
     return code
 
 
+def places(q: np.ndarray, x: np.ndarray, table: int, k: int) -> np.ndarray:
+    """How many buckets of a table are nearer to the query ``q[i]`` than that of the vector ``x[i]``."""
+    own, all_ = np.zeros(len(q)), []
+    for part in range(k):
+        value, held = (np.concatenate((v, -v), axis=1) for v in (pseudo_rotation(q, table, part), pseudo_rotation(x, table, part)))
+        own += np.take_along_axis(value, held.argmax(axis=1)[:, None], axis=1)[:, 0]
+        all_.append(value)
+    out = np.zeros(len(q), np.int64)
+    for i in range(len(q)):
+        left, right = (functools.reduce(lambda a, b: np.add.outer(a, b).ravel(), [v[i] for v in some], np.zeros(1)) for some in (all_[: k // 2], all_[k // 2 :]))
+        right = np.sort(right)
+        out[i] = (len(right) - np.searchsorted(right, own[i] - left + 1e-12, "right")).sum()
+    return out
+
+
+def _scanned(rows: DataFrame, queries: pa.Table, top: int) -> pa.Table:
+    """``query_id, vec`` of the ``top`` nearest of a few queries among all rows."""
+    own, q = queries["id"].to_numpy(), queries["vec"].combine_chunks().flatten().to_numpy().reshape(len(queries), -1)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score, vec = np.full((len(q), top), -np.inf), np.zeros((len(q), top, q.shape[1]))
+        for batch in batches:
+            ids, x = batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(len(batch), -1)
+            for i in range(0, len(ids), BLOCK):
+                new = q @ x[i : i + BLOCK].T
+                new[own[:, None] == ids[None, i : i + BLOCK]] = -np.inf
+                both = np.concatenate((score, new), axis=1)
+                best = np.argpartition(-both, top - 1, axis=1)[:, :top]
+                score = np.take_along_axis(both, best, axis=1)
+                old = best < top
+                vec = np.where(old[:, :, None], np.take_along_axis(vec, np.where(old, best, 0)[:, :, None], axis=1), x[i + np.where(old, 0, best - top)])
+        a, b = np.nonzero(score > -np.inf)
+        vecs = pa.array(list(vec[a, b]), pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array(own[a]), pa.array(score[a, b]), vecs], names=["query_id", "score", "vec"])
+
+    found = rows.select("id", "vec").mapInArrow(scan, "query_id bigint, score double, vec array<double>")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
+    return found.withColumn("rank", place).filter(F.col("rank") <= top).select("query_id", "vec").toArrow()
+
+
+def _widened(x: np.ndarray, width: int, longest: float | None = None) -> np.ndarray:
+    """Vectors by the longest and filled up to its length; queries (no longest) to unit length."""
+    norm = np.sqrt((x * x).sum(axis=1))
+    wide = np.zeros((len(x), width))
+    wide[:, : x.shape[1]] = x / (norm[:, None] if longest is None else longest)
+    if longest is not None and width > x.shape[1]:
+        wide[:, x.shape[1]] = np.sqrt(np.maximum(0, 1 - (norm / longest) ** 2))
+    return wide
+
+
+def needed(q: np.ndarray, x: np.ndarray, tables: int, k: int) -> int:
+    """Probes with which the queries ``q[i]`` reach the share ``REACHED`` of their neighbours ``x[i]``."""
+    first = np.sort(np.min([places(q, x, t, k) for t in range(tables)], axis=0))
+    return int(first[math.ceil(REACHED * len(first)) - 1]) + 1 if len(first) else 1
+
+
 def _bucketed(vectors: DataFrame, width: int, longest: float, tables: int, k: int, probes: int, query: bool) -> DataFrame:
     """``id, vec, t, bucket``: a row for each bucket a vector is in, or a query probes."""
 
@@ -88,14 +154,11 @@ def _bucketed(vectors: DataFrame, width: int, longest: float, tables: int, k: in
                 continue
             vec = batch.column(1)
             x = vec.flatten().to_numpy().reshape(len(batch), -1)
-            norm = np.sqrt((x * x).sum(axis=1))
-            wide = np.zeros((len(x), width))
-            wide[:, : x.shape[1]] = x / (norm if query else longest)[:, None] if query else x / longest
-            if not query and width > x.shape[1]:
-                wide[:, x.shape[1]] = np.sqrt(np.maximum(0, 1 - (norm / longest) ** 2))
-            for t in range(tables):
-                b = nearest_buckets(wide, t, k, probes)
-                rows = pa.array(np.repeat(np.arange(len(x)), b.shape[1]))
+            wide = _widened(x, width, None if query else longest)
+            step = max(16, EMITTED // probes)
+            for t, i in itertools.product(range(tables), range(0, len(x), step)):
+                b = nearest_buckets(wide[i : i + step], t, k, probes)
+                rows = pa.array(np.repeat(np.arange(i, i + len(b)), b.shape[1]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), vec.take(rows), pa.array(np.full(b.size, t, np.int32)), pa.array(b.ravel().astype(np.int64))], names=["id", "vec", "t", "bucket"])
 
     return vectors.mapInArrow(place, "id bigint, vec array<double>, t int, bucket bigint")
@@ -125,7 +188,8 @@ def _ranked(top: int) -> Callable[[tuple[pa.Scalar, ...], pa.Table, pa.Table], p
 
 
 def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES, block: int = BLOCK, exact_up_to: int = ALL, bucket_size: int = BUCKET) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``top`` nearest found of each row for which ``is_query`` (of the column ``id``) holds."""
+    """``query_id, rank, vec_id, score``: the ``top`` nearest found of each row for which ``is_query`` (of the column ``id``) holds.
+    ``probes`` are the fewest."""
     rows = C.cut(usable(vectors, id_col, vector_col))
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
     n, d, shortest, longest = rows.agg(F.count("*"), F.max(F.size("vec")), F.min(norm), F.max(norm)).first()
@@ -137,6 +201,13 @@ def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str
         k += 1
     if n <= exact_up_to:
         tables, k, probes = 1, 1, 2 * width
+    else:
+        sample = rows.filter(is_query).orderBy(F.xxhash64("id"), "id").limit(SAMPLED).toArrow()
+        if len(sample):
+            found, at = _scanned(rows, sample, top), {v: i for i, v in enumerate(sample["id"].to_pylist())}
+            q, x = (c.combine_chunks().flatten().to_numpy().reshape(len(c), d) for c in (sample["vec"], found["vec"]))
+            asking = q[[at[v] for v in found["query_id"].to_pylist()]]
+            probes = max(probes, needed(_widened(asking, width), _widened(x, width, longest), tables, k))
     inside = _bucketed(rows, width, longest, tables, k, 1, False)
     asked = _bucketed(rows.filter(is_query), width, longest, tables, k, probes, True)
 

@@ -373,6 +373,24 @@ def test_neighbours(spark, scaled):
     assert ann.neighbours(few.limit(0), query).count() == 0
 
 
+def reached(spark, x, **options):
+    """The share of the true neighbours of every 200th vector that is found."""
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id) for r in ann.neighbours(df, F.col("id") % 200 == 0, **options).collect()}
+    asked = np.arange(0, len(x), 200)
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    want = {(int(i), int(j)) for i, row in zip(asked, np.argsort(-score, axis=1)[:, :20], strict=True) for j in row}
+    return len(got & want) / len(want)
+
+
+def test_neighbours_of_two_axes(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(6000, 64)) + 0.8 * rng.normal(size=(200, 64))[rng.integers(0, 200, 6000)]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    assert reached(spark, x, bucket_size=16) >= 0.9
+
+
 # ---------------------------------------------------------------- 8 language model
 
 
