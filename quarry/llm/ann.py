@@ -7,12 +7,14 @@ are nearest to it, ``PROBES`` or more.  How many follows from the data: up to ``
 all vectors, and the probes are as many as reach the share ``REACHED`` of what they should find.  Candidates are ranked
 exactly, by the inner product of the original vectors in double precision.
 
-Vectors of different lengths get one more coordinate that fills them up to the longest, so that the largest inner product
-is the nearest direction (queries have 0 there); its scale is the one thing fitted, an aggregate over all rows.
+Vectors of different lengths are split into ranges of length, each ``RATIO`` times as long as the next; the last of the
+``RANGES`` has all that are shorter.  Each range has tables of its own, which all queries probe.  In them vectors get one
+more coordinate that fills them up to the longest of the range, so that the largest inner product is the nearest direction
+(queries have 0 there).  So a few long vectors don't crowd the others into few buckets.
 
 A bucket's vectors and queries are split by hash into blocks of about ``BLOCK``; a task sees one block of each and returns
-each query's nearest there.  So no bucket is capped and none has to fit into a task.  With up to ``ALL`` vectors all
-buckets of one table are probed, which makes the search exact.
+each query's nearest there.  So no bucket is capped and none has to fit into a task.  In a range of up to ``ALL``
+vectors all buckets of one table are probed, which makes the search exact.
 
 Defined cases: vectors that are null or zero, hold nulls or non-finite numbers, have no id or not the commonest number of
 dimensions take no part.  Of rows with the same id the smallest vector counts, once.  Equal scores go by the smaller id.
@@ -24,6 +26,7 @@ import functools
 import itertools
 import math
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,7 @@ BUCKET = 8192
 BROADCAST_BUCKETS = 500_000
 #: Queries that are answered by a scan to set the probes, and the share of their neighbours that these must reach.
 SAMPLED, REACHED = 128, 0.95
+RATIO, RANGES = 1.5, 12
 #: Rows of a batch that a query's probes make, about.
 EMITTED = 1 << 14
 
@@ -104,14 +108,26 @@ def places(q: np.ndarray, x: np.ndarray, table: int, k: int) -> np.ndarray:
     return out
 
 
+class Range(NamedTuple):
+    """Vectors of about one length: the longest, their tables ``first``, ``first + 1``, ..., axes of a bucket, probes."""
+
+    longest: float
+    first: int
+    tables: int
+    k: int
+    probes: int
+
+
 def _scanned(rows: DataFrame, queries: pa.Table, top: int) -> pa.Table:
-    """``query_id, vec`` of the ``top`` nearest of a few queries among all rows."""
+    """``query_id, vec, r`` of the ``top`` nearest of a few queries among all rows."""
     own, q = queries["id"].to_numpy(), queries["vec"].combine_chunks().flatten().to_numpy().reshape(len(queries), -1)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score, vec = np.full((len(q), top), -np.inf), np.zeros((len(q), top, q.shape[1]))
+        score, vec, kind = np.full((len(q), top), -np.inf), np.zeros((len(q), top, q.shape[1])), np.zeros((len(q), top), np.int32)
         for batch in batches:
-            ids, x = batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(len(batch), -1)
+            if not len(batch):
+                continue
+            ids, x, r = batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(len(batch), -1), batch.column(2).to_numpy()
             for i in range(0, len(ids), BLOCK):
                 new = q @ x[i : i + BLOCK].T
                 new[own[:, None] == ids[None, i : i + BLOCK]] = -np.inf
@@ -119,14 +135,16 @@ def _scanned(rows: DataFrame, queries: pa.Table, top: int) -> pa.Table:
                 best = np.argpartition(-both, top - 1, axis=1)[:, :top]
                 score = np.take_along_axis(both, best, axis=1)
                 old = best < top
-                vec = np.where(old[:, :, None], np.take_along_axis(vec, np.where(old, best, 0)[:, :, None], axis=1), x[i + np.where(old, 0, best - top)])
+                kept, new = np.where(old, best, 0), i + np.where(old, 0, best - top)
+                vec = np.where(old[:, :, None], np.take_along_axis(vec, kept[:, :, None], axis=1), x[new])
+                kind = np.where(old, np.take_along_axis(kind, kept, axis=1), r[new])
         a, b = np.nonzero(score > -np.inf)
         vecs = pa.array(list(vec[a, b]), pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([pa.array(own[a]), pa.array(score[a, b]), vecs], names=["query_id", "score", "vec"])
+        yield pa.RecordBatch.from_arrays([pa.array(own[a]), pa.array(score[a, b]), vecs, pa.array(kind[a, b])], names=["query_id", "score", "vec", "r"])
 
-    found = rows.select("id", "vec").mapInArrow(scan, "query_id bigint, score double, vec array<double>")
+    found = rows.select("id", "vec", "r").mapInArrow(scan, "query_id bigint, score double, vec array<double>, r int")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
-    return found.withColumn("rank", place).filter(F.col("rank") <= top).select("query_id", "vec").toArrow()
+    return found.withColumn("rank", place).filter(F.col("rank") <= top).select("query_id", "vec", "r").toArrow()
 
 
 def _widened(x: np.ndarray, width: int, longest: float | None = None) -> np.ndarray:
@@ -139,29 +157,32 @@ def _widened(x: np.ndarray, width: int, longest: float | None = None) -> np.ndar
     return wide
 
 
-def needed(q: np.ndarray, x: np.ndarray, tables: int, k: int) -> int:
+def needed(q: np.ndarray, x: np.ndarray, of: Range) -> int:
     """Probes with which the queries ``q[i]`` reach the share ``REACHED`` of their neighbours ``x[i]``."""
-    first = np.sort(np.min([places(q, x, t, k) for t in range(tables)], axis=0))
-    return int(first[math.ceil(REACHED * len(first)) - 1]) + 1 if len(first) else 1
+    first = np.sort(np.min([places(q, x, t, of.k) for t in range(of.first, of.first + of.tables)], axis=0))
+    return int(first[math.ceil(REACHED * len(first)) - 1]) + 1
 
 
-def _bucketed(vectors: DataFrame, width: int, longest: float, tables: int, k: int, probes: int, query: bool) -> DataFrame:
+def _bucketed(vectors: DataFrame, width: int, ranges: dict[int, Range], query: bool) -> DataFrame:
     """``id, vec, t, bucket``: a row for each bucket a vector is in, or a query probes."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            vec = batch.column(1)
+            vec, own = batch.column(1), batch.column(2).to_numpy()
             x = vec.flatten().to_numpy().reshape(len(batch), -1)
-            wide = _widened(x, width, None if query else longest)
-            step = max(16, EMITTED // probes)
-            for t, i in itertools.product(range(tables), range(0, len(x), step)):
-                b = nearest_buckets(wide[i : i + step], t, k, probes)
-                rows = pa.array(np.repeat(np.arange(i, i + len(b)), b.shape[1]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), vec.take(rows), pa.array(np.full(b.size, t, np.int32)), pa.array(b.ravel().astype(np.int64))], names=["id", "vec", "t", "bucket"])
+            for r, of in ranges.items():
+                at = np.arange(len(x)) if query else np.flatnonzero(own == r)
+                wide = _widened(x[at], width, None if query else of.longest)
+                probes = of.probes if query else 1
+                step = max(16, EMITTED // probes)
+                for t, i in itertools.product(range(of.first, of.first + of.tables), range(0, len(at), step)):
+                    b = nearest_buckets(wide[i : i + step], t, of.k, probes)
+                    rows = pa.array(np.repeat(at[i : i + len(b)], b.shape[1]))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), vec.take(rows), pa.array(np.full(b.size, t, np.int32)), pa.array(b.ravel().astype(np.int64))], names=["id", "vec", "t", "bucket"])
 
-    return vectors.mapInArrow(place, "id bigint, vec array<double>, t int, bucket bigint")
+    return vectors.select("id", "vec", "r").mapInArrow(place, "id bigint, vec array<double>, t int, bucket bigint")
 
 
 def _ranked(top: int) -> Callable[[tuple[pa.Scalar, ...], pa.Table, pa.Table], pa.Table]:
@@ -196,20 +217,29 @@ def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str
     d, longest = d or 1, longest or 1.0
     same = n == 0 or longest - shortest <= 1e-4 * longest
     width = 1 << (d + (not same) - 1).bit_length()
-    k = 1
-    while n > bucket_size * (2 * width) ** k:
-        k += 1
-    if n <= exact_up_to:
-        tables, k, probes = 1, 1, 2 * width
-    else:
-        sample = rows.filter(is_query).orderBy(F.xxhash64("id"), "id").limit(SAMPLED).toArrow()
-        if len(sample):
-            found, at = _scanned(rows, sample, top), {v: i for i, v in enumerate(sample["id"].to_pylist())}
-            q, x = (c.combine_chunks().flatten().to_numpy().reshape(len(c), d) for c in (sample["vec"], found["vec"]))
-            asking = q[[at[v] for v in found["query_id"].to_pylist()]]
-            probes = max(probes, needed(_widened(asking, width), _widened(x, width, longest), tables, k))
-    inside = _bucketed(rows, width, longest, tables, k, 1, False)
-    asked = _bucketed(rows.filter(is_query), width, longest, tables, k, probes, True)
+    # logarithms are null for 0 and infinite beyond doubles; those lengths are in the last range and the first
+    steps = F.coalesce(F.nanvl((F.lit(math.log(longest)) - F.ln(norm)) / math.log(RATIO), F.lit(0.0)), F.lit(float(RANGES)))
+    rows = rows.withColumn("r", F.lit(0) if same else F.floor(F.greatest(F.lit(0.0), F.least(steps, F.lit(RANGES - 1.0)))).cast("int"))
+    held = sorted(rows.groupBy("r").agg(F.count("*").alias("n"), F.max(norm).alias("longest")).collect())
+    found, asking = None, np.zeros((0, d))
+    if any(of.n > exact_up_to for of in held) and len(sample := rows.filter(is_query).orderBy(F.xxhash64("id"), "id").limit(SAMPLED).toArrow()):
+        found, at = _scanned(rows, sample, top), {v: i for i, v in enumerate(sample["id"].to_pylist())}
+        q, x = (c.combine_chunks().flatten().to_numpy().reshape(len(c), d) for c in (sample["vec"], found["vec"]))
+        asking = _widened(q[[at[v] for v in found["query_id"].to_pylist()]], width)
+    ranges: dict[int, Range] = {}
+    first = 0
+    for r, size, most in held:
+        k = 1
+        while size > bucket_size * (2 * width) ** k:
+            k += 1
+        of = Range(most or 1.0, first, tables, k, probes)
+        if size <= exact_up_to:
+            of = of._replace(tables=1, k=1, probes=2 * width)
+        elif found is not None and (mine := found["r"].to_numpy() == r).any():
+            of = of._replace(probes=max(probes, needed(asking[mine], _widened(x[mine], width, of.longest), of)))
+        ranges[r] = of
+        first += of.tables
+    inside, asked = _bucketed(rows, width, ranges, False), _bucketed(rows.filter(is_query), width, ranges, True)
 
     def blocks(of: DataFrame, name: str) -> DataFrame:
         return of.groupBy("t", "bucket").agg(F.ceil(F.count("*") / block).cast("int").alias(name))

@@ -391,6 +391,17 @@ def test_neighbours_of_two_axes(spark):
     assert reached(spark, x, bucket_size=16) >= 0.9
 
 
+def test_neighbours_beside_a_long_vector(spark, monkeypatch):
+    taken, needed = [], ann.needed
+    monkeypatch.setattr(ann, "needed", lambda *a: taken.append(needed(*a)) or taken[-1])
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(5000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[1] *= 10
+    assert reached(spark, x) >= 0.9
+    assert max(taken) <= 20  # by direction, not by nearly all buckets
+
+
 # ---------------------------------------------------------------- 8 language model
 
 
