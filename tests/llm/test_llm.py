@@ -439,6 +439,13 @@ def test_code_is_complete_and_learning_helps(spark):
     assert like < 3 < unlike
 
 
+def test_short_texts_are_mixed_online(spark):
+    rng = np.random.default_rng(0)
+    model = lm_score.train(documents(spark, [(i, tongue(rng, "en", 60), "en", "s") for i in range(50)]))
+    none, once, twice, thrice = (r.bits for r in lm_score.score(documents(spark, [(n, "eauqueux " * n, "fr", "s") for n in (0, 20, 40, 60)]), model).orderBy("doc_id").collect())
+    assert thrice - twice < 0.99 * (once - none)  # fixed weights give as many bits each time
+
+
 # ---------------------------------------------------------------- 9 shards
 
 
