@@ -271,9 +271,8 @@ def connected(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, word_class: str = C.SPACE_CLASS) -> DataFrame:
-    """One row for each document row: its id, ``text_key`` (a hash of its text), ``n_shingles``, ``component_id`` and ``kept``
-    (whether the row has the component's id)."""
+def _judged(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, percent: int = PERCENT, word_class: str = C.SPACE_CLASS) -> DataFrame:
+    """What ``near_duplicates`` gives, and ``comp``: a number of the component that no other has (null without words)."""
     sketched = C.cut(sketches(docs, id_col, text_col, shingle, word_class))
     classes = sketched.filter("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("registers").alias("registers"))
     nodes = C.cut(classes.withColumn("node", F.monotonically_increasing_id()))
@@ -302,20 +301,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rooted = C.cut(nodes.select("node", "f1", "f2", "id").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     ids = rooted.groupBy("comp").agg(F.min("id").alias("component"))
-    by_set = rooted.join(ids, "comp").select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), "component")
+    by_set = rooted.join(ids, "comp").select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), "comp", "component")
     out = sketched.join(by_set, (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")), "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(id_col), "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return out.select(F.col("id").alias(id_col), "text_key", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), "comp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, word_class: str = C.SPACE_CLASS) -> DataFrame:
+    """One row for each document row: its id, ``text_key`` (a hash of its text), ``n_shingles``, ``component_id`` and ``kept``
+    (whether the row has the component's id)."""
+    return _judged(docs, id_col, text_col, shingle, percent, word_class).select(id_col, "text_key", "n_shingles", "component_id", "kept")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with all their columns, one row of each component: that with the component's id (of several, one of them).
     Rows without words, and those without an id whose component has none, all stay but for repeated rows."""
-    found = near_duplicates(docs, id_col, text_col, **options).filter("kept").select(F.col(id_col).alias("id"), "text_key", "n_shingles")
+    found = _judged(docs, id_col, text_col, **options).filter("kept").select(F.col(id_col).alias("id"), "text_key", "n_shingles", "comp")
     alone = (F.col("n_shingles") == 0) | F.col("id").isNull()
     times, key = C.fresh(docs, "times", "text_key")
-    texts = found.groupBy("id", "text_key", F.when(alone, F.col("text_key")).alias("own")).agg(F.count("*").alias(times))
-    first = texts.groupBy("id", "own").agg(F.min(F.struct("text_key", times)).alias("first")).select("id", "first.*")
+    texts = found.groupBy("id", "text_key", "comp", F.when(alone, F.col("text_key")).alias("own")).agg(F.count("*").alias(times))
+    first = texts.groupBy("id", "comp", "own").agg(F.min(F.struct("text_key", times)).alias("first")).select("id", "first.*")
     kept = C.matched(docs, first, id_col, text_col, "inner", times).withColumn(key, F.xxhash64(text_col))
     # only rows that are repeated have to meet, to leave one
     repeated = kept.filter(F.col(times) > 1).dropDuplicates([id_col, key])

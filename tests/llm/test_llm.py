@@ -225,6 +225,13 @@ def test_one_of_each(spark, odd, empty):
     assert near_dedup.one_of_each(empty).count() == 0
 
 
+def test_one_of_each_of_a_shared_id(spark):
+    rows = [(7, f"{w} " * 3 + " ".join(f"{w}{i}" for i in range(30)), "en", "s") for w in ("alpha", "beta", "gamma")]
+    rows += [rows[0], (7, rows[1][1] + " more", "en", "s"), (9, rows[2][1], "en", "s")]  # repeated, nearly the same, the same
+    kept = near_dedup.one_of_each(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text.split()[0]) for r in kept) == [(7, "alpha"), (7, "beta"), (7, "gamma")]
+
+
 def test_estimates_and_merging():
     rng = np.random.default_rng(3)
     a = np.unique(rng.integers(0, 1 << 63, 900, dtype=np.uint64) * np.uint64(2))
