@@ -7,7 +7,8 @@ that come before (Kneser-Ney).  A text gets the language of the lowest cross-ent
 is above what texts of the language reach that were kept out of its model, with room to spare.
 
 Training takes a bounded sample: about ``SAMPLE`` different texts of each language, of at most ``LONGEST`` bytes each,
-picked by a hash of the text among all labelled rows.  Each language is fitted in a task of its own, so the models that
+picked by a hash of the text among all labelled rows.  A language whose texts are all longer is fitted on as many pieces of
+them, picked in the same way among all pieces.  Each language is fitted in a task of its own, so the models that
 are broadcast are bounded by the sample and the number of languages.  Scoring goes once over all whole texts without a
 shuffle; within a megabyte of text each different n-gram is looked up once.
 
@@ -18,7 +19,7 @@ no labelled rows.  Of languages that are equally near, the first by name wins.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -153,13 +154,39 @@ def cross_entropies(models: list[Model], data: np.ndarray, at: np.ndarray) -> tu
     return out, n
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, longest: int = LONGEST) -> list[Model]:
-    """Models of the languages in ``labelled`` (null texts and languages don't count), by name."""
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL").filter(F.octet_length("text") <= longest).withColumn("key", F.xxhash64("text"))
-    counts = C.cut(rows.groupBy("lang", "key").count().groupBy("lang").agg(F.count("*").alias("texts")))
+def _drawn(rows: DataFrame, counts: DataFrame, sample: int) -> DataFrame:
+    """About ``sample`` different texts of each language; ``counts`` has how many there are."""
     counts = C.bounded_broadcast(counts, counts.count(), BROADCAST_LANGUAGES)
     drawn = F.shiftrightunsigned("key", 11).cast("double") * F.lit(2.0**-53) * F.col("texts") < sample
-    picked = rows.join(counts, "lang").filter(drawn).dropDuplicates(["lang", "key"]).select("lang", "key", "text")
+    return rows.join(counts, "lang").filter(drawn).dropDuplicates(["lang", "key"]).select("lang", "key", "text")
+
+
+def _pieces(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Cuts ``lang, text`` into pieces of ``size`` characters (at most four times as many bytes)."""
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+                whole = text.as_buffer().to_pybytes().decode("utf-8", "replace")
+                texts = [whole[i : i + size] for i in range(0, len(whole), size)]
+                yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(texts), pa.string()), pa.array(texts, pa.string())], names=["lang", "text"])
+
+    return cut_up
+
+
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, longest: int = LONGEST) -> list[Model]:
+    """Models of the languages in ``labelled`` (null texts and languages don't count), by name."""
+    every = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    short = F.octet_length("text") <= longest
+    keyed = every.select("lang", F.when(short, F.xxhash64("text")).alias("key"))  # a null key: longer texts
+    counts = C.cut(keyed.groupBy("lang", "key").count().groupBy("lang").agg(F.count("key").alias("texts")))
+    picked = _drawn(every.filter(short).withColumn("key", F.xxhash64("text")), counts.filter("texts > 0"), sample)
+    lone = counts.filter("texts = 0").select("lang")
+    if n := lone.count():
+        long = every.filter(~short).join(C.bounded_broadcast(lone, n, BROADCAST_LANGUAGES), "lang", "left_semi")
+        pieces = long.mapInArrow(_pieces(max(1, longest // 4)), "lang string, text string").withColumn("key", F.xxhash64("text"))
+        counts = C.cut(pieces.groupBy("lang", "key").count().groupBy("lang").agg(F.count("*").alias("texts")))
+        picked = picked.unionAll(_drawn(pieces, counts, sample))
 
     def fitted(key: tuple[pa.Scalar, ...], texts: pa.Table) -> pa.Table:
         order = np.argsort(texts["key"].to_numpy(), kind="stable")

@@ -296,6 +296,14 @@ def test_languages(spark, odd, empty):
     assert language_id.identify(odd, models).count() == odd.count()
 
 
+def test_languages_of_long_texts_alone(spark):
+    rng = np.random.default_rng(2)
+    docs = documents(spark, [(i, tongue(rng, lang, n), lang, "s") for i, (lang, n) in enumerate([("en", 20), ("fr", 400)] * 30)])
+    models = language_id.train(docs, longest=400)
+    assert [m.lang for m in models] == ["en", "fr"]
+    assert {r.lang_pred for r in language_id.identify(docs.filter("lang = 'fr'"), models).collect()} == {"fr"}
+
+
 def test_kneser_ney_sums_to_one():
     data = np.frombuffer(b"the cat sat on the mat the end", np.uint8)
     m = language_id.Model("x", 0.0, *language_id.fit(*language_id.symbols(data, np.array([0, len(data)]))))
