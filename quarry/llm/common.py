@@ -6,9 +6,11 @@ Texts are handled as the UTF-8 bytes Arrow holds, without a Python object for a
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import NamedTuple
 
@@ -17,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 CHUNK_BYTES = 1 << 20
 #: Short rows (two keys and a count) up to which a table of decisions is broadcast.
@@ -60,6 +63,15 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for what is written and read again; it is deleted when the driver ends."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop)
+    files.deleteOnExit(hadoop)
+    return f"{hadoop.toString()}/{name}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder; its lineage ends there, and Spark's cleaner removes it."""
     shared_dir(df.sparkSession)
@@ -81,6 +93,38 @@ def bounded_broadcast(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
+def own(df: DataFrame, name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
+def schema(rows: DataFrame, *kept: str, **more: str) -> StructType:
+    """The columns ``kept`` of ``rows``, and ``more`` with their types."""
+    return struct({c: rows.schema[c].dataType for c in kept} | more)
+
+
+def struct(fields: dict[str, str | DataType]) -> StructType:
+    return StructType([StructField(c, DataType.fromDDL(t) if isinstance(t, str) else t) for c, t in fields.items()])
+
+
+def released(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``f`` for ``mapInArrow``; after its last batch the worker, which Spark uses again, gives memory back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Returns what numpy and Arrow freed to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like these that no column of ``df`` has."""
     taken, out = {c.lower() for c in df.columns}, []
@@ -100,7 +144,7 @@ def matched(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, how:
     found = cut(found)
     i, k = fresh(docs, "id_found", "key_found")
     near = bounded_broadcast(found.select(F.col("id").alias(i), F.col("text_key").alias(k), *more), found.count(), BROADCAST_ROWS)
-    return docs.join(near, docs[id_col].eqNullSafe(F.col(i)) & (F.xxhash64(docs[text_col]) == F.col(k)), how)
+    return docs.join(near, own(docs, id_col).eqNullSafe(F.col(i)) & (F.xxhash64(own(docs, text_col)) == F.col(k)), how)
 
 
 # ---------------------------------------------------------------- hashing
@@ -253,14 +297,17 @@ def long(x: np.ndarray) -> pa.Array:
 
 # ---------------------------------------------------------------- bitmaps
 
-BITMAP_BITS = 1 << 25
+#: Bits of a bitmap for each row, and at least and at most in all.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 30
 
 
-def hash_bitmap(df: DataFrame, col: str, bits: int = BITMAP_BITS) -> np.ndarray:
-    """A bitmap of ``bits`` bits (4 MB as it stands, whatever the rows) with the places of the column's hashes set.
+def hash_bitmap(df: DataFrame, col: str, bits: int | None = None) -> np.ndarray:
+    """A bitmap with the places of the column's hashes set, of ``bits`` bits, or by the counted rows, within bounds.
 
     Spark builds it in pieces of 4 KB; the driver sees at most bits / 32768 of them.
     """
+    if bits is None:
+        bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * df.count()).bit_length()))
     at = F.pmod(F.col(col), F.lit(bits)) + 1  # Spark numbers bits from 1
     rows = df.select(F.bitmap_bucket_number(at).alias("k"), F.bitmap_bit_position(at).alias("p")).groupBy("k").agg(F.bitmap_construct_agg("p").alias("bits")).collect()
     out = np.zeros(bits // 8, np.uint8)
