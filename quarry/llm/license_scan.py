@@ -8,12 +8,14 @@ for the diagonal ``place in the document - place in the template``.
 * For a passage, diagonals at most ``SLACK`` apart are merged (an inserted or dropped word moves the diagonal), and the
   span is verified: enough of the passage's grams, and enough of the span's grams, must have voted.
 
-The templates' table follows the templates, not the data, and is broadcast within a checked number of rows; the grams
-are exploded and joined within one stage, and only votes are shuffled, by document.  A document's words, as an array,
-are the unit of memory.
-
-Defined cases: a null or empty text has no words and no spans.  Repeated rows are scanned one by one.  An empty table
-gives an empty report.
+The templates' table follows the templates, not the data, and is broadcast within a checked number of rows.  A document's
+grams are thinned by a table of bytes, sized by the templates' grams, before they are exploded and joined; exploded rows
+carry the words of their gram alone.  Only votes are shuffled, by document.  A document's words, as an array, are the unit
+of memory, and work is in proportion to them.
+
+Defined cases: a null or empty text has no words and no spans; a text of any length is scanned whole.  Repeated rows are
+scanned one by one.  Spans that begin together are in the order of their ends, then of their templates.  The result has
+columns of its own, whatever other columns ``docs`` has.  An empty table gives an empty report.
 """
 
 from __future__ import annotations
@@ -54,6 +56,8 @@ SLACK = 2
 #: Least share of a passage's grams, and of a span's grams, that must have voted.
 COVERAGE, DENSITY = 0.5, 0.5
 BROADCAST_GRAMS = 200_000
+#: Places of the thinning table for each template gram.
+SPARSE = 32
 SEPARATORS = C.WORD_CLASS.replace("[^", "[")
 
 
@@ -62,21 +66,36 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(C.ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), lambda w: w != "")
 
 
-def _grams(words: Column, k: int) -> Column:
-    """Hashes of all runs of k words."""
-    starts = F.when(F.size(words) >= k, F.sequence(F.lit(0), F.size(words) - k)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.lit(k), *(F.get(words, i + j) for j in range(k))))
+def _starts(words: Column, k: int) -> Column:
+    return F.when(F.size(words) >= k, F.sequence(F.lit(0), F.size(words) - k)).otherwise(F.array().cast("array<int>"))
+
+
+def _gram(words: Column, i: Column, k: int) -> Column:
+    """The hash of the run of k words from the i-th."""
+    return F.xxhash64(F.lit(k), *(F.get(words, i + j) for j in range(k)))
 
 
 def template_grams(spark: SparkSession, templates: Sequence[Template]) -> DataFrame:
-    """``hash, template, t_pos, gram, n_grams`` of all templates, and one row that every document meets once."""
+    """``hash, template, t_pos, gram, k, n_grams`` of all templates."""
     rows = spark.createDataFrame([(i, t.text, PHRASE_GRAM if t.phrase else PASSAGE_GRAM) for i, t in enumerate(templates)], "template int, text string, k int")
-    worded = rows.withColumn("words", words_of(F.col("text")))
-    grams = F.when(F.col("k") == PHRASE_GRAM, _grams(F.col("words"), PHRASE_GRAM)).otherwise(_grams(F.col("words"), PASSAGE_GRAM))
-    each = worded.withColumn("grams", grams).select("template", "k", "words", F.size("grams").alias("n_grams"), F.posexplode("grams").alias("t_pos", "hash"))
-    met = each.select("hash", "template", "t_pos", F.expr("slice(words, t_pos + 1, k)").alias("gram"), "k", "n_grams")
-    own = spark.range(1).select(F.xxhash64(F.lit("document")).alias("hash"), F.lit(-1).alias("template"), F.lit(0).alias("t_pos"), F.array().cast("array<string>").alias("gram"), F.lit(0).alias("k"), F.lit(0).alias("n_grams"))
-    return met.unionAll(own)
+    words = F.col("words")
+
+    def hashes(k: int) -> Column:
+        return F.transform(_starts(words, k), lambda i: _gram(words, i, k))
+
+    grams = F.when(F.col("k") == PHRASE_GRAM, hashes(PHRASE_GRAM)).otherwise(hashes(PASSAGE_GRAM))
+    each = rows.withColumn("words", words_of(F.col("text"))).withColumn("grams", grams)
+    each = each.select("template", "k", "words", F.size("grams").alias("n_grams"), F.posexplode("grams").alias("t_pos", "hash"))
+    return each.select("hash", "template", "t_pos", F.expr("slice(words, t_pos + 1, k)").alias("gram"), "k", "n_grams")
+
+
+def _thinning(index: DataFrame, n: int) -> tuple[Column, int]:
+    """A table of bytes and its length, at least ``SPARSE`` for each of the n template grams; the bytes at their hashes are 1."""
+    places = max(64, 1 << (SPARSE * n - 1).bit_length())
+    table = bytearray(places)
+    for r in index.select(F.pmod("hash", F.lit(places)).alias("at")).distinct().collect():  # follows the templates, not the data
+        table[r["at"]] = 1
+    return F.lit(bytes(table)), places
 
 
 def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Sequence[Template] = PHRASES + PASSAGES) -> DataFrame:
@@ -84,17 +103,34 @@ def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``template`` (index), ``label``, ``phrase``, ``coverage`` (share of the template's grams)."""
     spark = docs.sparkSession
     index = C.cut(template_grams(spark, templates))
-    index = C.bounded_broadcast(index, index.count(), BROADCAST_GRAMS)
+    n_grams = index.count()
+    table, places = _thinning(index, n_grams)
+    words, n = F.col("words"), F.size("words")
+
+    def met(k: int) -> Column:
+        """Grams of k words that may be a template's, with their place and words."""
+        kept = F.filter(_starts(words, k), lambda i: F.substr(table, (F.pmod(_gram(words, i, k), F.lit(places)) + 1).cast("int"), F.lit(1)) == F.lit(b"\x01"))
+        return F.transform(kept, lambda i: F.struct(i.alias("pos"), F.lit(k).alias("its"), _gram(words, i, k).alias("hash"), F.slice(words, i + 1, k).alias("here")))
+
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words"))
-    words = F.col("words")
-    hashes = F.concat(F.array(F.xxhash64(F.lit("document"))), _grams(words, PHRASE_GRAM), _grams(words, PASSAGE_GRAM))
-    each = rows.select("rid", "id", "words", F.posexplode(hashes).alias("at", "hash"))
-    n = F.size("words")
-    pairs = F.greatest(n - PHRASE_GRAM + 1, F.lit(0))
-    place = F.when(F.col("k") == PASSAGE_GRAM, F.col("at") - 1 - pairs).otherwise(F.col("at") - 1)
-    votes = each.join(index, "hash").withColumn("pos", place).filter((F.col("k") == 0) | F.expr("slice(words, greatest(pos, 0) + 1, k) = gram"))
+    # each document's own row has no place, and its number of words
+    own = F.array(F.struct(F.lit(None).cast("int").alias("pos"), n.alias("its"), F.lit(None).cast("bigint").alias("hash"), F.lit(None).cast("array<string>").alias("here")))
+    # explode_outer: for explode, the optimiser would compute the whole array once more, to test its size
+    each = rows.select("rid", "id", F.explode_outer(F.concat(own, met(PHRASE_GRAM), met(PASSAGE_GRAM))).alias("g"))
+    each = each.select("rid", "id", "g.pos", "g.its", "g.here", F.col("g.hash").alias("near"))
+    index = C.bounded_broadcast(index, n_grams, BROADCAST_GRAMS)
+    joined = each.join(index, (F.col("near") == F.col("hash")) & (F.col("its") == F.col("k")) & (F.col("here") == F.col("gram")), "left")
+    own = F.col("pos").isNull()
+    votes = joined.filter(own | F.col("template").isNotNull()).select(
+        "rid",
+        F.when(own, F.col("id")).alias("id"),
+        F.coalesce("template", F.lit(-1)).alias("template"),
+        F.coalesce("t_pos", F.lit(0)).alias("t_pos"),
+        F.coalesce("n_grams", F.lit(0)).alias("n_grams"),
+        F.coalesce("k", F.lit(0)).alias("k"),
+        F.when(own, F.col("its")).otherwise(F.col("pos") - F.col("t_pos")).alias("diagonal"),
+    )
     own = F.col("template") < 0
-    votes = votes.select("rid", F.when(own, F.col("id")).alias("id"), "template", "t_pos", "n_grams", "k", F.when(own, n).otherwise(F.col("pos") - F.col("t_pos")).alias("diagonal"))
 
     by_diagonal = votes.groupBy("rid", "template", "diagonal", "n_grams", "k").agg(F.first("id", ignorenulls=True).alias("id"), F.count("*").alias("votes"), F.min("t_pos").alias("low"), F.max("t_pos").alias("high"))
     # spread by document once: all that follows keeps to it
