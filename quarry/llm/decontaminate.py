@@ -83,7 +83,7 @@ def shingle_counts(docs: DataFrame, text_col: str, bitmap: np.ndarray, widths: l
             h, n = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([C.long(h), pa.array(n.astype(np.int64))], names=["h", "n"])
 
-    return docs.select(text_col).mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("count"))
+    return docs.select(text_col).mapInArrow(C.released(count), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("count"))
 
 
 def prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
@@ -98,9 +98,8 @@ def _candidates(rows: DataFrame, bitmap: np.ndarray, widths: list[int], reach: i
     the words from ``from`` on around it.  ``rows``: rid, id, text_key, text.  A document's own row has its rid as h, so
     that a join by h deals these rows evenly."""
     sent = rows.sparkSession.sparkContext.broadcast(bitmap)
-    kind = rows.schema["id"].dataType
-    schema = f"rid bigint, candidate boolean, id {kind.simpleString()}, text_key bigint, n_words bigint, h bigint, pos bigint, from bigint, around string"
-    names = [x.split()[0] for x in schema.split(", ")]
+    fields = {"rid": "bigint", "candidate": "boolean", "id": rows.schema["id"].dataType, "text_key": "bigint", "n_words": "bigint", "h": "bigint", "pos": "bigint", "from": "bigint", "around": "string"}
+    schema, names = C.struct(fields), list(fields)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,7 +121,7 @@ def _candidates(rows: DataFrame, bitmap: np.ndarray, widths: list[int], reach: i
                     around = [t.words(x, y) for x, y in zip(low.tolist(), high.tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(rids[i + doc[p]]), pa.array(np.ones(n, bool)), pa.nulls(n, ids.type), pa.nulls(n, pa.int64()), pa.array(z - a), C.long(h), pa.array(p - a), pa.array(low - a), pa.array(around, pa.string())], names=names)
 
-    return rows.mapInArrow(find, schema)
+    return rows.mapInArrow(C.released(find), schema)
 
 
 def _merge(spans: Column) -> Column:

@@ -6,14 +6,16 @@ with their weight for the next lower order; the highest order counts occurrences
 that come before (Kneser-Ney).  A text gets the language of the lowest cross-entropy by symbol.  It is rejected if that
 is above what texts of the language reach that were kept out of its model, with room to spare.
 
-Training takes a bounded sample: about ``SAMPLE`` different texts of each language, of at most ``LONGEST`` bytes each,
-picked by a hash of the text among all labelled rows.  A language whose texts are all longer is fitted on as many pieces of
+Training takes a bounded sample: about ``SAMPLE`` different texts of each language, of at most ``LONGEST`` bytes each and
+about ``SAMPLE_BYTES`` together, picked by a hash of the text among all labelled rows.  A language whose texts are all longer is fitted on as many pieces of
 them, picked in the same way among all pieces.  Each language is fitted in a task of its own, so the models that
 are broadcast are bounded by the sample and the number of languages.  Scoring goes once over all whole texts without a
-shuffle; within a megabyte of text each different n-gram is looked up once.
+shuffle; within ``CHUNK`` symbols each different n-gram is looked up once, and memory beside the text follows that.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and rejected; so is every text if there are
-no labelled rows.  Of languages that are equally near, the first by name wins.  Repeated rows are judged one by one.
+no labelled rows.  A text of any length is judged whole, ``CHUNK`` symbols at a time.  Of languages that are equally near,
+the first by name wins.  Repeated rows are judged one by one.  The report has columns of its own, whatever other columns
+``docs`` has.  An empty table gives an empty report.
 """
 
 from __future__ import annotations
@@ -24,14 +26,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common as C
 
 ORDER = 4
-SAMPLE = 400
+SAMPLE, SAMPLE_BYTES = 400, 2_000_000
 LONGEST = 200_000
+#: Symbols taken at a time: each takes about 150 bytes of memory.
+CHUNK = 1 << 19
 #: Languages up to which the table of their counts is broadcast: one short row each.
 BROADCAST_LANGUAGES = 10_000
 #: Probability of a symbol that no training text has, spread over this many.
@@ -90,20 +95,23 @@ def symbols(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     kept[1:] |= is_letter[:-1]
     heads = bounds[:-1][bounds[:-1] < len(points)]
     kept[heads] = is_letter[heads]
-    found = np.where(is_letter, lower[points], SPACE)[kept]
-    return found.astype(np.uint64), np.concatenate(([0], np.cumsum(kept)))[bounds]
-
-
-def hashes(s: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For orders 1 to ORDER, the hash of the n-gram that ends at each symbol and of its context; spaces precede a text."""
-    place = np.arange(len(s)) - np.repeat(first[:-1], np.diff(first))
-    context, gram, contexts = np.zeros(len(s), np.uint64), [], []
-    own = (s + np.uint64(1)) * VALUE[0]
+    points = points[kept]
+    return np.where(is_letter[kept], lower[points], np.uint32(SPACE)), np.concatenate(([0], np.cumsum(kept)))[bounds]
+
+
+def hashes(s: np.ndarray, first: np.ndarray, a: int = 0, z: int | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For orders 1 to ORDER, the hash of the n-gram that ends at each symbol from a to z and of its context; spaces precede a
+    text."""
+    bounds = np.clip(first, a, len(s) if z is None else z)
+    size = int(bounds[-1]) - a
+    place = np.arange(a, a + size) - np.repeat(first[:-1], np.diff(bounds))
+    context, gram, contexts = np.zeros(size, np.uint64), [], []
+    own = (s[a : a + size].astype(np.uint64) + np.uint64(1)) * VALUE[0]
     for n in range(1, ORDER + 1):
         if n > 1:
-            back = np.full(len(s), SPACE, np.uint64)
-            seen = place >= n - 1
-            back[seen] = s[np.flatnonzero(seen) - (n - 1)]
+            back = np.full(size, SPACE, np.uint64)
+            seen = np.flatnonzero(place >= n - 1)
+            back[seen] = s[seen + (a - (n - 1))]
             context = context + (back + np.uint64(1)) * VALUE[n - 1]
         contexts.append(context)
         gram.append(C.mix(context + own))
@@ -138,27 +146,27 @@ def cross_entropies(models: list[Model], data: np.ndarray, at: np.ndarray) -> tu
     """Bits a symbol of each text by each model, and the number of symbols; 0 symbols give 0 bits."""
     s, first = symbols(data, at)
     n, out = np.diff(first), np.zeros((len(at) - 1, len(models)))
-    if not len(s):
-        return out, n
-    gram, context = hashes(s, first)
-    _, once, back = np.unique(gram[-1], return_index=True, return_inverse=True)
-    gram, context = [g[once] for g in gram], [c[once] for c in context]
-    bits = np.empty((len(once), len(models)))
-    for k, m in enumerate(models):
-        p = np.full(len(once), 1 / ALPHABET)
-        for o in range(ORDER):
-            p = _found(m.grams[o], m.direct[o], gram[o], 0) + _found(m.contexts[o], m.lower[o], context[o], 1) * p
-        bits[:, k] = -np.log2(p)
-    full = np.flatnonzero(n)
-    out[full] = np.add.reduceat(bits[back], first[full], axis=0) / n[full, None]
-    return out, n
+    for a in range(0, len(s), CHUNK):
+        bounds = np.clip(first, a, min(len(s), a + CHUNK)) - a
+        gram, context = hashes(s, first, a, a + CHUNK)
+        _, once, back = np.unique(gram[-1], return_index=True, return_inverse=True)
+        gram, context = [g[once] for g in gram], [c[once] for c in context]
+        here = np.flatnonzero(np.diff(bounds))
+        for k, m in enumerate(models):
+            p = np.full(len(once), 1 / ALPHABET)
+            for o in range(ORDER):
+                p = _found(m.grams[o], m.direct[o], gram[o], 0) + _found(m.contexts[o], m.lower[o], context[o], 1) * p
+            out[here, k] += np.add.reduceat(-np.log2(p)[back], bounds[here])
+    return out / np.maximum(n, 1)[:, None], n
 
 
 def _drawn(rows: DataFrame, counts: DataFrame, sample: int) -> DataFrame:
     """About ``sample`` different texts of each language; ``counts`` has how many there are."""
     counts = C.bounded_broadcast(counts, counts.count(), BROADCAST_LANGUAGES)
     drawn = F.shiftrightunsigned("key", 11).cast("double") * F.lit(2.0**-53) * F.col("texts") < sample
-    return rows.join(counts, "lang").filter(drawn).dropDuplicates(["lang", "key"]).select("lang", "key", "text")
+    found = rows.join(counts, "lang").filter(drawn).dropDuplicates(["lang", "key"])
+    before = F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("key").rowsBetween(Window.unboundedPreceding, -1))
+    return found.select("lang", "key", "text", F.coalesce(before, F.lit(0)).alias("before")).filter(F.col("before") < SAMPLE_BYTES).drop("before")
 
 
 def _pieces(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -209,18 +217,17 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     return [Model(r.lang, r.limit, *([np.frombuffer(x, kind) for x in r[name]] for name, kind in kinds.items())) for r in sorted(found, key=lambda r: r.lang)]
 
 
-def identify(docs: DataFrame, models: list[Model], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, models: list[Model] | Broadcast, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document row: its id, ``text_key`` (a hash of its text), ``lang_pred``, ``score`` (of the language
     against the others, 0 to 1), ``bits`` (a symbol) and ``rejected``."""
-    sent = docs.sparkSession.sparkContext.broadcast(models)
-    kind = docs.schema[id_col].dataType.simpleString()
+    sent = models if isinstance(models, Broadcast) else docs.sparkSession.sparkContext.broadcast(models)
     names = ["id", "text_key", "lang_pred", "score", "bits", "rejected"]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
         langs, limits = np.array([*(m.lang for m in known), UNKNOWN], object), np.array([*(m.limit for m in known), -1.0])
         for batch in batches:
-            for i, j, data, at in C.chunks(batch.column(2)):
+            for i, j, data, at in C.chunks(batch.column(2), CHUNK):
                 best, score, least, room = np.full(j - i, len(known)), *np.zeros((3, j - i))
                 if known:
                     bits, n = cross_entropies(known, data, at)
@@ -232,8 +239,9 @@ def identify(docs: DataFrame, models: list[Model], id_col: str = "doc_id", text_
                     score[full] = 1 / weight[full].sum(axis=1)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j], pa.array(langs[best], pa.string()), pa.array(score), pa.array(least), pa.array(least > limits[best] + room)], names=names)
 
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(judge, f"id {kind}, text_key bigint, lang_pred string, score double, bits double, rejected boolean").withColumnRenamed("id", id_col)
+    id_, text = C.own(docs, id_col), C.own(docs, text_col)
+    rows = docs.select(id_.alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    return rows.mapInArrow(C.released(judge), C.schema(rows, "id", "text_key", lang_pred="string", score="double", bits="double", rejected="boolean")).withColumnRenamed("id", id_col)
 
 
 def _remainder(id_col: str, by: int) -> Column:
@@ -247,9 +255,11 @@ def learned_from(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def accepted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` with all their columns, without the rows that are rejected by models learned from their own labelled rows."""
-    models = train(learned_from(docs, id_col), text_col, lang_col)
+    models = docs.sparkSession.sparkContext.broadcast(train(learned_from(docs, id_col), text_col, lang_col))
     bad = identify(docs, models, id_col, text_col).filter("rejected").select(F.col(id_col).alias("id"), "text_key").distinct()
-    return C.matched(docs, bad, id_col, text_col, "left_anti")
+    out = C.matched(docs, bad, id_col, text_col, "left_anti")
+    models.unpersist()  # all is judged
+    return out
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
