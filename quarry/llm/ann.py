@@ -3,9 +3,9 @@
 A table's hash of a unit vector is the signed axis nearest to it after a pseudo-rotation: three rounds of random signs and
 a fast Hadamard transform.  ``k`` such axes make a bucket; k grows with the number of vectors, so that buckets keep their
 size.  Every vector is in one bucket of each of ``TABLES`` tables; a query probes those buckets of each table whose axes
-are nearest to it, ``PROBES`` or more.  How many follows from the data: up to ``SAMPLED`` queries are answered by a scan of
-all vectors, and the probes are as many as reach the share ``REACHED`` of what they should find.  Candidates are ranked
-exactly, by the inner product of the original vectors in double precision.
+are nearest to it.  How many follows from the data, at every size and for every k: ``SAMPLED`` queries are answered by a
+scan of all vectors, and the probes are as many as reach the share ``REACHED`` of what they should find.  Candidates are
+ranked exactly, by the inner product of the original vectors in double precision.
 
 Vectors of different lengths are split into ranges of length, each ``RATIO`` times as long as the next; the last of the
 ``RANGES`` has all that are shorter.  Each range has tables of its own, which all queries probe.  In them vectors get one
@@ -13,11 +13,12 @@ more coordinate that fills them up to the longest of the range, so that the larg
 (queries have 0 there).  So a few long vectors don't crowd the others into few buckets.
 
 A bucket's vectors and queries are split by hash into blocks of about ``BLOCK``; a task sees one block of each and returns
-each query's nearest there.  So no bucket is capped and none has to fit into a task.  In a range of up to ``ALL``
-vectors all buckets of one table are probed, which makes the search exact.
+each query's nearest there.  So no bucket is capped and none has to fit into a task.  Queries whose buckets hold fewer than
+``top`` vectors are ranked against all vectors, in the same blocks.
 
 Defined cases: vectors that are null or zero, hold nulls or non-finite numbers, have no id or not the commonest number of
 dimensions take no part.  Of rows with the same id the smallest vector counts, once.  Equal scores go by the smaller id.
+The result has columns of its own, whatever other columns there are.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -35,9 +36,8 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-TABLES, PROBES = 10, 10
+TABLES = 10
 BLOCK = 4096
-ALL = 4096
 #: Vectors that a bucket has on average, at most.
 BUCKET = 8192
 BROADCAST_BUCKETS = 500_000
@@ -50,9 +50,9 @@ EMITTED = 1 << 14
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``id, vec`` (doubles) of the rows that take part."""
-    vec = F.col(vector_col).cast("array<double>")
+    vec = C.own(vectors, vector_col).cast("array<double>")
     sound = F.forall(vec, lambda x: F.coalesce((x - x) == 0, F.lit(False))) & F.exists(vec, lambda x: x != 0)
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), vec.alias("vec")).filter(F.col("id").isNotNull() & F.col("vec").isNotNull()).filter(sound)
+    rows = vectors.select(C.own(vectors, id_col).cast("bigint").alias("id"), vec.alias("vec")).filter(F.col("id").isNotNull() & F.col("vec").isNotNull()).filter(sound)
     size = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).select("d").first()
     kept = rows.filter(F.size("vec") == (size.d if size else 0))
     return kept.groupBy("id").agg(F.min("vec").alias("vec"))
@@ -142,7 +142,7 @@ def _scanned(rows: DataFrame, queries: pa.Table, top: int) -> pa.Table:
         vecs = pa.array(list(vec[a, b]), pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays([pa.array(own[a]), pa.array(score[a, b]), vecs, pa.array(kind[a, b])], names=["query_id", "score", "vec", "r"])
 
-    found = rows.select("id", "vec", "r").mapInArrow(scan, "query_id bigint, score double, vec array<double>, r int")
+    found = rows.select("id", "vec", "r").mapInArrow(C.released(scan), "query_id bigint, score double, vec array<double>, r int")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
     return found.withColumn("rank", place).filter(F.col("rank") <= top).select("query_id", "vec", "r").toArrow()
 
@@ -182,7 +182,7 @@ def _bucketed(vectors: DataFrame, width: int, ranges: dict[int, Range], query: b
                     rows = pa.array(np.repeat(at[i : i + len(b)], b.shape[1]))
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), vec.take(rows), pa.array(np.full(b.size, t, np.int32)), pa.array(b.ravel().astype(np.int64))], names=["id", "vec", "t", "bucket"])
 
-    return vectors.select("id", "vec", "r").mapInArrow(place, "id bigint, vec array<double>, t int, bucket bigint")
+    return vectors.select("id", "vec", "r").mapInArrow(C.released(place), "id bigint, vec array<double>, t int, bucket bigint")
 
 
 def _ranked(top: int) -> Callable[[tuple[pa.Scalar, ...], pa.Table, pa.Table], pa.Table]:
@@ -208,9 +208,8 @@ def _ranked(top: int) -> Callable[[tuple[pa.Scalar, ...], pa.Table, pa.Table], p
     return rank
 
 
-def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES, block: int = BLOCK, exact_up_to: int = ALL, bucket_size: int = BUCKET) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``top`` nearest found of each row for which ``is_query`` (of the column ``id``) holds.
-    ``probes`` are the fewest."""
+def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, block: int = BLOCK, bucket_size: int = BUCKET) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``top`` nearest found of each row for which ``is_query`` (of the column ``id``) holds."""
     rows = C.cut(usable(vectors, id_col, vector_col))
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
     n, d, shortest, longest = rows.agg(F.count("*"), F.max(F.size("vec")), F.min(norm), F.max(norm)).first()
@@ -221,26 +220,37 @@ def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str
     steps = F.coalesce(F.nanvl((F.lit(math.log(longest)) - F.ln(norm)) / math.log(RATIO), F.lit(0.0)), F.lit(float(RANGES)))
     rows = rows.withColumn("r", F.lit(0) if same else F.floor(F.greatest(F.lit(0.0), F.least(steps, F.lit(RANGES - 1.0)))).cast("int"))
     held = sorted(rows.groupBy("r").agg(F.count("*").alias("n"), F.max(norm).alias("longest")).collect())
-    found, asking = None, np.zeros((0, d))
-    if any(of.n > exact_up_to for of in held) and len(sample := rows.filter(is_query).orderBy(F.xxhash64("id"), "id").limit(SAMPLED).toArrow()):
-        found, at = _scanned(rows, sample, top), {v: i for i, v in enumerate(sample["id"].to_pylist())}
+    sample = rows.filter(is_query).orderBy(F.xxhash64("id"), "id").limit(SAMPLED).toArrow()
+    found, at = _scanned(rows, sample, top) if len(sample) else None, {v: i for i, v in enumerate(sample["id"].to_pylist())}
+    if found is not None:
         q, x = (c.combine_chunks().flatten().to_numpy().reshape(len(c), d) for c in (sample["vec"], found["vec"]))
         asking = _widened(q[[at[v] for v in found["query_id"].to_pylist()]], width)
     ranges: dict[int, Range] = {}
-    first = 0
-    for r, size, most in held:
+    for i, (r, size, most) in enumerate(held):
         k = 1
         while size > bucket_size * (2 * width) ** k:
             k += 1
-        of = Range(most or 1.0, first, tables, k, probes)
-        if size <= exact_up_to:
-            of = of._replace(tables=1, k=1, probes=2 * width)
-        elif found is not None and (mine := found["r"].to_numpy() == r).any():
-            of = of._replace(probes=max(probes, needed(asking[mine], _widened(x[mine], width, of.longest), of)))
+        of = Range(most or 1.0, i * tables, tables, k, 1)
+        if found is not None and (mine := found["r"].to_numpy() == r).any():
+            of = of._replace(probes=needed(asking[mine], _widened(x[mine], width, of.longest), of))
         ranges[r] = of
-        first += of.tables
     inside, asked = _bucketed(rows, width, ranges, False), _bucketed(rows.filter(is_query), width, ranges, True)
 
+    near = C.cut(_best(_met(inside, asked, top, block), top))
+    counts = near.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("found"))
+    short = rows.filter(is_query).join(counts, "id", "left").filter(F.coalesce("found", F.lit(0)) < min(top, n - 1)).select("id", "vec", "r")
+    short = C.cut(short)
+    if short.limit(1).count():
+        one = [F.lit(-1).alias("t"), F.lit(0).cast("bigint").alias("bucket")]  # all vectors as one bucket
+        all_ = rows.select(F.col("id").alias("id"), F.col("vec").alias("vec"), *one)  # columns that short's can be told from
+        rest = _best(_met(all_, short.select("id", "vec", *one), top, block), top)
+        near = near.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionAll(rest)
+    return near
+
+
+def _met(inside: DataFrame, asked: DataFrame, top: int, block: int) -> DataFrame:
+    """``query_id, vec_id, score`` of the ``top`` nearest of each query in each block of its buckets."""
+
     def blocks(of: DataFrame, name: str) -> DataFrame:
         return of.groupBy("t", "bucket").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
 
@@ -254,7 +264,11 @@ def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str
 
     units = ["t", "bucket", "q", "c"]
     left, right = dealt(asked, "q_blocks", "c_blocks", "q", "c").groupBy(*units), dealt(inside, "c_blocks", "q_blocks", "c", "q").groupBy(*units)
-    found = left.cogroup(right).applyInArrow(_ranked(top), "query_id bigint, vec_id bigint, score double")
+    return left.cogroup(right).applyInArrow(_ranked(top), "query_id bigint, vec_id bigint, score double")
+
+
+def _best(found: DataFrame, top: int) -> DataFrame:
+    """Each query's ``top`` nearest of all that its blocks gave."""
     each = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return each.withColumn("rank", place).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
