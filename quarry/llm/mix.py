@@ -8,13 +8,14 @@ was and the words expected of the two together stay exactly the same.  The other
 The meetings form a reduction tree.  Documents are dealt by a seeded hash into buckets of about ``BUCKET``; a bucket is
 folded by ``aggregate`` and leaves one residual; residuals are dealt again, until a source has one bucket.  A hot source
 only has more buckets.  Each level is one shuffle, of a ``BUCKET``-th of the rows before it; no text is shuffled.  In
-the end one document of each source is left and goes to the nearer side, so a source misses its target by at most half
-that one's size.
+the end one document of each source is left and is drawn with the probability it has come to, so that every document's
+expectation is kept; a source misses its target by less than that one's size.
 
 Rows with the same id, source and text form one unit of the tree (counted before any shuffle), and its copies are dealt out evenly.
 
-Defined cases: a null text has size 0 and takes no words; a null source is a source of its own, the last.  An empty
-table gives an empty mix.  All randomness is hashes of the rows and ``seed``: reruns agree, whatever the partitions.
+Defined cases: a null text has size 0 and takes no words; a null source is a source of its own, the last.  A text of any
+length is one unit, of its whole size.  Sources that fill up together do so in their order.  Other columns may have any
+name.  An empty table gives an empty mix.  All randomness is hashes of the rows and ``seed``: reruns agree, whatever the partitions.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ def size_of(text: Column) -> Column:
 
 def _keys(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> tuple[Column, Column]:
     """128 bits of hash of a row's id, source and text, nulls told apart."""
-    named = [x for c in (id_col, source_col, text_col) for x in (F.col(c).isNull(), F.col(c))]
+    named = [x for c in (id_col, source_col, text_col) for x in (C.own(docs, c).isNull(), C.own(docs, c))]
     return F.xxhash64(*named), F.xxhash64(F.lit("second"), *reversed(named))
 
 
@@ -131,7 +132,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         active = folded.select("source", "units", "f.rest.*")
         if buckets <= 1:
             break
-    decided.append(active.select("u1", "u2", F.when(F.col("x") >= 0.5, 1).otherwise(0).alias("more")))
+    decided.append(active.select("u1", "u2", (_uniform(F.col("u2"), F.col("u1"), F.lit(level + 1), F.lit(seed)) < F.col("x")).cast("int").alias("more")))
     more = decided[0]
     for d in decided[1:]:
         more = more.unionAll(d)
@@ -149,7 +150,7 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = docs.withColumns({k1: u1, k2: u2}).join(C.bounded_broadcast(mix, mix.count(), C.BROADCAST_ROWS), [k1, k2])
     # only rows that are repeated have to meet, to leave one
     taken = found.filter(F.col(rows) == 1).unionAll(found.filter(F.col(rows) > 1).dropDuplicates([k1, k2]))
-    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times)))).select(*docs.columns)
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times)))).select(*(C.own(docs, c) for c in docs.columns))
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ to exactly one section, so the sections' counts add up to the document's.
 One scan, no shuffle.  The vocabulary is read by the driver from a path that is a parameter, and sent as it is; its size
 does not depend on the data.  Memory follows the longest document.
 
-Defined cases: a null or empty text has no tokens and no sections.  A token within a character (a byte of it) has that
+Defined cases: a null or empty text has no tokens and no sections.  A text of any length is encoded whole, long runs of white
+space in parts where the vocabulary's pattern splits them too.  The report has columns of its own, whatever others there are.  A token within a character (a byte of it) has that
 character as its span.  Repeated rows are counted one by one.  An empty table gives an empty one.
 """
 
@@ -20,25 +21,33 @@ from __future__ import annotations
 
 import base64
 import functools
+import re
 from collections.abc import Iterator, Sequence
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
 
+if TYPE_CHECKING:
+    import tiktoken
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the public pattern that splits text before the merges of this vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Runs of (Unicode's) white space that are long.
+LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 RULES = ("start", "end", "most")
 
 
 @functools.cache
 def _encoder(raw: bytes, pattern: str) -> tuple[tiktoken.Encoding, np.ndarray]:
     """The encoder, and its tokens' lengths in bytes."""
+    import tiktoken  # only this operator needs it
+
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
     size = np.zeros(max(ranks.values()) + 1, np.int64)
     for token, rank in ranks.items():
@@ -46,10 +55,22 @@ def _encoder(raw: bytes, pattern: str) -> tuple[tiktoken.Encoding, np.ndarray]:
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), size
 
 
+def _encoded(encoder: tiktoken.Encoding, text: str) -> Iterator[Sequence[int]]:
+    """The tokens of a text, in parts.  A long run of white space is a part of its own, since the pattern would step back through
+    it once for each of its characters; where a word follows, the run's last character goes with the word, as in the pattern."""
+    a = 0
+    for run in LONG_RUN.finditer(text):
+        z = run.end() - (run.end() < len(text))
+        yield encoder.encode_to_numpy(text[a : run.start()], disallowed_special=())
+        yield encoder._encode_single_piece(text[run.start() : z])
+        a = z
+    yield encoder.encode_to_numpy(text[a:], disallowed_special=())
+
+
 def token_spans(text: str, raw: bytes, pattern: str = PATTERN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The tokens of a text, and the first and last (inclusive) character of each."""
     encoder, size = _encoder(raw, pattern)
-    tokens = encoder.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+    tokens = np.concatenate([np.asarray(x, np.int64) for x in _encoded(encoder, text)])
     data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
     char = np.cumsum((data & 0xC0) != 0x80) - 1
     ends = np.cumsum(size[tokens])
@@ -87,7 +108,6 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         raise ValueError(f"rule must be one of {RULES}")
     with open(vocabulary, "rb") as f:
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
-    kind = docs.schema[id_col].dataType.simpleString()
     names = ["id", "n_tokens", "n_crossing", "sections"]
     section = pa.struct([("section", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("tokens", pa.int64())])
 
@@ -115,9 +135,9 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             structs = pa.StructArray.from_arrays(flat, fields=list(section))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(totals, pa.int64()), pa.array(crossings, pa.int64()), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), structs)], names=names)
 
-    columns = [F.col(c).alias(f"f{k}") for k, c in enumerate(fields or [text_col])]
-    schema = f"id {kind}, n_tokens bigint, n_crossing bigint, sections array<struct<section:string,start:bigint,end:bigint,tokens:bigint>>"
-    return docs.select(F.col(id_col).alias("id"), *columns).mapInArrow(count, schema).withColumnRenamed("id", id_col)
+    rows = docs.select(C.own(docs, id_col).alias("id"), *(C.own(docs, c).alias(f"f{k}") for k, c in enumerate(fields or [text_col])))
+    schema = C.schema(rows, "id", n_tokens="bigint", n_crossing="bigint", sections="array<struct<section:string,start:bigint,end:bigint,tokens:bigint>>")
+    return rows.mapInArrow(C.released(count), schema).withColumnRenamed("id", id_col)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
