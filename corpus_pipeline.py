@@ -2,12 +2,15 @@
 
 Each stage takes all that the one before it kept, as read again from where that was written, and returns the columns of
 ``documents``; the last adds ``shard`` and ``slot``.  The mix may repeat a document, so its rows may too.
+
+Defined cases: a null or empty text, or one without a letter, goes in the first stage (no language can be told).  A null id,
+source or language stays; rows without an id that have words count as documents of their own.  Of repeated rows, the second
+stage keeps one.  Texts of any length pass whole.  Other columns pass through all stages; one that is called shard or slot is
+replaced in the last.  An empty table gives empty shards.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import common, decontaminate, language_id, mix, near_dedup, shard
@@ -52,7 +55,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; each stage is written to the shared folder and read again."""
-    docs, to = common.table(spark, sf_dir, "documents"), f"{common.shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, to = common.table(spark, sf_dir, "documents"), common.scratch(spark, "pipeline")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{to}/{name}")
         docs = spark.read.parquet(f"{to}/{name}")
