@@ -121,6 +121,11 @@ def mime_type(path: Column) -> Column:
     return F.coalesce(kinds[F.lower(F.regexp_extract(path, r"\.[^.]+$", 0))], F.lit("image/jpeg"))
 
 
+def data_url(path: Column, content: Column) -> Column:
+    """A file as it is sent to a model: its type and its bytes in base 64."""
+    return F.concat(F.lit("data:"), mime_type(path), F.lit(";base64,"), F.base64(content))
+
+
 def platform(source: Column) -> Column:
     return F.split_part(filled(source), F.lit(":"), F.lit(1))
 

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 # The sizes of single images, width by height; a composite is twice as wide and high.
 TILES = [
-    tuple(map(int, x.split("x")))
-    for x in (
-        "1024x1024 1456x816 816x1456 896x1344 1344x896 928x1232 1232x928 960x1200 1200x960 1456x832 832x1456 1680x720 720x1680 2176x544 544x2176 1904x640 640x1904 "
-        "1536x768 768x1536 2112x576 576x2112 2016x576 576x2016 960x1248 1248x960 1344x768 768x1344 864x1360 1360x864 928x1312 1312x928 1376x864 864x1376 1424x848 "
-        "848x1424 1024x1040 1040x1024 816x1472 1472x816 912x1296 1296x912 992x1200 1200x992 1712x704 704x1712 720x1648 1648x720 736x1600 1600x736 656x448 448x656"
-    ).split()
-]
+    (1024, 1024), (1456, 816), (816, 1456), (896, 1344), (1344, 896), (928, 1232), (1232, 928), (960, 1200), (1200, 960), (1456, 832), (832, 1456), (1680, 720),
+    (720, 1680), (2176, 544), (544, 2176), (1904, 640), (640, 1904), (1536, 768), (768, 1536), (2112, 576), (576, 2112), (2016, 576), (576, 2016), (960, 1248),
+    (1248, 960), (1344, 768), (768, 1344), (864, 1360), (1360, 864), (928, 1312), (1312, 928), (1376, 864), (864, 1376), (1424, 848), (848, 1424), (1024, 1040),
+    (1040, 1024), (816, 1472), (1472, 816), (912, 1296), (1296, 912), (992, 1200), (1200, 992), (1712, 704), (704, 1712), (720, 1648), (1648, 720), (736, 1600),
+    (1600, 736), (656, 448), (448, 656),
+]
 LARGE = 3_500_000
 
 

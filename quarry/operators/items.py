@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text
+from quarry.sources import files
 
 
 def unseen(items: DataFrame, seen: DataFrame, on: str) -> DataFrame:
@@ -23,12 +24,31 @@ def present(items: DataFrame, listing: DataFrame, on: str = "filename") -> DataF
 def first_arrivals(items: DataFrame, url: str, content_hash: str, order: Sequence[str]) -> DataFrame:
     """``outcome`` of each item in order of arrival: ok, dup_url or dup_hash.
 
-    Where a URL always has the same content, the first item of a content is taken, and a later one repeats its URL or only
-    its content.  One shuffle by content.
+    An item is taken unless one that was taken before has its URL or its content.  In rounds: of the items left, those that
+    are the first of their URL and of their content are taken, and all that share either with them go.  Where a URL always has
+    the same content, that is one round; else there are as many as the longest chain of items that wait for each other.
+    Nulls count as values.  Rows of equal order count in any order.
     """
-    w = Window.partitionBy(content_hash).orderBy(*order)
-    first = F.first(url).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return items.withColumn("outcome", F.when(F.row_number().over(w) == 1, "ok").when(F.col(url) == first, "dup_url").otherwise("dup_hash"))
+    spark, base = items.sparkSession, files.scratch(items.sparkSession, "arrivals")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    every = written(items.withColumn("__id", F.monotonically_increasing_id()), "items")
+    left = every.select("__id", F.struct(url).alias("u"), F.struct(content_hash).alias("h"), F.struct(*order, "__id").alias("at"))
+    step, taken = 0, left.limit(0)
+    while not left.isEmpty():
+        step += 1
+        first = {c: left.groupBy(F.col(c).alias(f"{c}_")).agg(F.min("at").alias(f"at_{c}")) for c in ("u", "h")}
+        both = left.join(first["u"], (F.col("u") == F.col("u_")) & (F.col("at") == F.col("at_u"))).join(first["h"], (F.col("h") == F.col("h_")) & (F.col("at") == F.col("at_h")))
+        new = written(both.select("__id", "u", "h", "at"), f"taken{step}")
+        taken = taken.unionAll(new)
+        left = written(left.join(new.select("u"), "u", "left_anti").join(new.select("h"), "h", "left_anti").select("__id", "u", "h", "at"), f"left{step}")
+    by_id, by_url = taken.select("__id", F.lit(True).alias("__ok")), taken.select(F.col("u").alias("__u"), F.col("at").alias("__at"))
+    met = every.join(by_id, "__id", "left").join(by_url, F.struct(url) == F.col("__u"), "left")
+    outcome = F.when(F.col("__ok"), "ok").when(F.col("__at") < F.struct(*order, "__id"), "dup_url").otherwise("dup_hash")
+    return met.withColumn("outcome", outcome).select(*items.columns, "outcome")
 
 
 def one_of_each(items: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -44,6 +64,27 @@ def new_items(candidates: DataFrame, manifest: DataFrame, order: Sequence[str],
     return firsts.filter(large_enough(F.col("width").cast("bigint") * F.col("height"), min_pixels))
 
 
+def produced(*producers: DataFrame) -> DataFrame:
+    """The items of several producers as one table."""
+    out = producers[0]
+    for p in producers[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def until_target(items: DataFrame, by: str, order: Sequence[str], target: int) -> DataFrame:
+    """``by, n, reached, taken``: how many items each group has, whether that reaches the target, and how many are taken."""
+    counts = items.groupBy(by).agg(F.count("*").alias("n"))
+    return counts.select(by, "n", (F.col("n") >= target).alias("reached"), F.least("n", F.lit(target)).alias("taken"))
+
+
+def page_counts(found: DataFrame, listing: str, page: str, key: str, order: Sequence[str]) -> DataFrame:
+    """``found, duplicates, seen`` of each page of a listing: its items, those that came before, and whether all did."""
+    first = F.row_number().over(Window.partitionBy(listing, key).orderBy(*order)) == 1
+    counts = found.withColumn("__first", first).groupBy(listing, page).agg(F.count("*").alias("found"), F.count_if(~F.col("__first")).alias("duplicates"))
+    return counts.withColumn("seen", F.col("found") == F.col("duplicates"))
+
+
 def large_enough(pixels: Column, least: int) -> Column:
     """Items of too few pixels go; those that couldn't be decoded (0) stay."""
     return (pixels == 0) | (pixels >= least)

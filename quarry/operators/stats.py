@@ -46,9 +46,9 @@ def score_stats(scores: DataFrame, below: float = -2.0) -> DataFrame:
 
 
 def state_counts(items: DataFrame, by: str = "dataset") -> DataFrame:
-    """Items by state, total (accepted and staged) and pass rate in percent, for each ``by`` and over all (null)."""
+    """Items by state, total (accepted and staged) and pass rate in percent, for each ``by`` and over all (``overall``)."""
     in_state = lambda s: F.count_if(F.col("state") == s)
-    counts = items.rollup(by).agg(in_state("images").alias("images"), in_state("staging").alias("staging"), in_state("rejected").alias("rejected"))
+    counts = items.rollup(by).agg((F.grouping(by) == 1).alias("overall"), in_state("images").alias("images"), in_state("staging").alias("staging"), in_state("rejected").alias("rejected"))
     rate = F.coalesce(F.try_divide(F.col("images") * 100.0, F.col("images") + F.col("rejected")), F.lit(0.0))
     return counts.withColumn("total", F.col("images") + F.col("staging")).withColumn("pass_rate", rate)
 
@@ -61,7 +61,7 @@ def sample_counts(items: DataFrame, by: str, order: str, value: str, sample: int
 
 def signal_counts(items: DataFrame, signals: str, top: int | None = None) -> DataFrame:
     """How often each signal occurs, the commonest first."""
-    counts = items.select(F.explode(signals).alias("signal")).groupBy("signal").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "signal")
+    counts = items.select(F.explode_outer(signals).alias("signal")).filter("signal IS NOT NULL").groupBy("signal").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "signal")
     return counts if top is None else counts.limit(top)
 
 

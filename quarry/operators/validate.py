@@ -115,6 +115,12 @@ def report(decided: DataFrame, threshold: float = DETECTED_BELOW, relaxed: bool
     return whole.select(F.to_json(F.struct("*")).alias("report"))
 
 
+def report_images(decided: DataFrame) -> DataFrame:
+    """The report's part by image: a row of JSON for each that tier 1 decided."""
+    passed = F.size("reasons") == 0
+    return decided.filter("tier = 1").select(F.to_json(F.struct("filename", passed.alias("passed"), F.col("state").alias("destination"), "reasons")).alias("image"))
+
+
 def reviewed(items: DataFrame, classes: DataFrame) -> DataFrame:
     """Staged items after human review: ``ai_art`` is accepted, any other class rejected.  ``action``: moved, not_found (a class
     without an item) or none (an item without a class)."""

@@ -81,7 +81,8 @@ def blocked_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def content_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.col("text").cast("binary")
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.sha2(content, 256).alias("content_hash"), text.content_name(content, F.lit(".jpg")).alias("filename"))
-    return items.first_arrivals(docs, "source", "content_hash", ["doc_id"]).select("doc_id", "filename", "outcome")
+    by_source = docs.withColumn("url", F.concat_ws("/", "source", "content_hash"))  # each URL has one content
+    return items.first_arrivals(by_source, "url", "content_hash", ["doc_id"]).select("doc_id", "filename", "outcome")
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -214,7 +215,7 @@ SQL_STATES = "SELECT lang AS dataset, CASE WHEN quality IS NULL THEN 'staging' W
 
 
 @query(f"""SELECT *, images + staging AS total, CASE WHEN images + rejected > 0 THEN images * 100.0::DOUBLE / (images + rejected) ELSE 0.0 END AS pass_rate FROM (
-    SELECT dataset, count(*) FILTER (state = 'images') AS images, count(*) FILTER (state = 'staging') AS staging, count(*) FILTER (state = 'rejected') AS rejected FROM ({SQL_STATES}) GROUP BY ROLLUP (dataset))""")
+    SELECT dataset, grouping(dataset) = 1 AS overall, count(*) FILTER (state = 'images') AS images, count(*) FILTER (state = 'staging') AS staging, count(*) FILTER (state = 'rejected') AS rejected FROM ({SQL_STATES}) GROUP BY ROLLUP (dataset))""")
 def state_pivot_passrate(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = F.when(F.col("quality").isNull(), "staging").when((F.col("quality") == 1) & (F.col("toxic") == 0), "images").otherwise("rejected")
     joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
@@ -236,8 +237,8 @@ SQL_RATIO = "CASE " + " ".join(f"WHEN abs(w / h - {rw}::DOUBLE / {rh}::DOUBLE) /
 
 @query(f"SELECT l_orderkey, l_linenumber, {SQL_RATIO} AS ratio FROM (SELECT l_orderkey, l_linenumber, CAST({W} AS DOUBLE) AS w, CAST({H} AS DOUBLE) AS h FROM lineitem)")
 def ratio_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratio = shapes.known_ratio(F.expr(W), F.expr(H), GROK.ratios, GROK.ratio_tolerance)
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", ratio.alias("ratio"))
+    sized = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr(W).alias("w"), F.expr(H).alias("h"))
+    return sized.select("l_orderkey", "l_linenumber", shapes.known_ratio(F.col("w"), F.col("h"), GROK.ratios, GROK.ratio_tolerance).alias("ratio"))
 
 
 SQL_SIZED = f"SELECT l_orderkey, l_linenumber, CAST({W} AS BIGINT) AS w, CAST({H} AS BIGINT) AS h, CAST(floor(l_extendedprice) AS BIGINT) AS size, CASE l_linenumber % 4 WHEN 0 THEN 'PNG' WHEN 1 THEN 'GIF' ELSE 'JPEG' END AS format, l_quantity AS q FROM lineitem"
@@ -301,6 +302,13 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("r.total", "r.passed", "r.rejected", F.array_join(entries, ",").alias("reasons"))
 
 
+@query(SQL_DECIDED + " SELECT doc_id || CASE lang WHEN 'de' THEN '.PNG' ELSE '.jpg' END AS filename, len(reasons) = 0 AS passed, CASE WHEN len(reasons) = 0 THEN 'images' ELSE 'rejected' END AS destination, array_to_string(reasons, ',') AS reasons FROM r WHERE tier = 1")
+def validation_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entry = "filename string, passed boolean, destination string, reasons array<string>"
+    rows = validate.report_images(decided(spark, sf_dir)).select(F.from_json("image", entry).alias("i")).select("i.*")
+    return rows.withColumn("reasons", F.array_join("reasons", ","))
+
+
 @query("""SELECT coalesce(CAST(d.doc_id AS VARCHAR), CAST(l.doc_id AS VARCHAR)) AS filename, CASE WHEN d.doc_id IS NULL THEN 'not_found' WHEN l.doc_id IS NULL THEN 'none' WHEN d.lang = 'en' THEN 'moved' ELSE 'not_found' END AS action,
     CASE WHEN d.doc_id IS NULL THEN NULL WHEN d.lang <> 'en' THEN 'images' WHEN l.doc_id IS NULL THEN 'staging' WHEN l.quality = 1 THEN 'images' ELSE 'rejected' END AS state FROM documents d FULL OUTER JOIN labels l ON d.doc_id = l.doc_id""")
 def review_apply(spark: SparkSession, sf_dir: str) -> DataFrame:

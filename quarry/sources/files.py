@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +17,21 @@ IMAGES = (".jpg", ".jpeg", ".png")
 MORE_IMAGES = (*IMAGES, ".webp", ".bmp")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path for what is written and read again, in the folder that the session names as shared (in local mode without
+    one, a temporary folder); it is deleted when the driver ends."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="quarry-")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{name}-{uuid.uuid4().hex}")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return f"{path.toString()}/{name}"
+
+
 def _missing(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in str(e.getCondition() or e)
 

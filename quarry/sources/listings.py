@@ -32,6 +32,15 @@ def read_pages(spark: SparkSession, path: str, source: str, items: str | None =
     return spark.read.schema(f"{items} array<struct<{_as_struct(schema)}>>").json(path).select(F.inline(items))
 
 
+def parse_pages(pages: DataFrame, body: str, source: str, items: str | None = None) -> DataFrame:
+    """Items of JSON pages that were landed as a column of text."""
+    schema = schemas.LISTINGS[source]
+    if items is None:
+        return pages.select(F.from_json(body, schema).alias("i")).select("i.*")
+    found = pages.select(F.from_json(body, f"{items} array<struct<{_as_struct(schema)}>>").alias("page"))
+    return found.select(F.explode(f"page.{items}").alias("i")).select("i.*")
+
+
 def _as_struct(schema: str) -> str:
     depth, out = 0, []
     for word in schema.split(" "):  # "name type, ..." to "name: type, ..." at the outer level
@@ -176,14 +185,15 @@ CONNECTORS: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (civit
 # ---------------------------------------------------------------- what is asked of a source
 
 # Models, their image types, sort orders and time windows.
-RECRAFT_MODELS = "recraftv3 recraftv4 recraftv4_raster recraftv4_pro_raster".split()
-RECRAFT_TYPES = (
-    "realistic_image realistic_image_b_and_w realistic_image_enterprise realistic_image_evening_light realistic_image_faded_nostalgia realistic_image_forest_life "
-    "realistic_image_hard_flash realistic_image_hdr realistic_image_motion_blur realistic_image_mystic_naturalism realistic_image_natural_light realistic_image_natural_tones "
-    "realistic_image_organic_calm realistic_image_real_life_glow realistic_image_retro_realism realistic_image_retro_snapshot"
-).split()
-REDDIT_LISTS = ("new hot top rising".split(), "all year month week".split())
-REDDIT_SEARCHES = ("relevance new top".split(), "all year month".split())
+RECRAFT_MODELS = ["recraftv3", "recraftv4", "recraftv4_raster", "recraftv4_pro_raster"]
+RECRAFT_TYPES = [
+    "realistic_image", "realistic_image_b_and_w", "realistic_image_enterprise", "realistic_image_evening_light", "realistic_image_faded_nostalgia",
+    "realistic_image_forest_life", "realistic_image_hard_flash", "realistic_image_hdr", "realistic_image_motion_blur", "realistic_image_mystic_naturalism",
+    "realistic_image_natural_light", "realistic_image_natural_tones", "realistic_image_organic_calm", "realistic_image_real_life_glow",
+    "realistic_image_retro_realism", "realistic_image_retro_snapshot",
+]
+REDDIT_LISTS = (["new", "hot", "top", "rising"], ["all", "year", "month", "week"])
+REDDIT_SEARCHES = (["relevance", "new", "top"], ["all", "year", "month"])
 
 
 def _values(spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from quarry.plans import landed  # noqa: F401
 from quarry.plans import queries as plans
 
 SF = Path("/root/testdata/sf0.001")
