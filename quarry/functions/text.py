@@ -22,9 +22,16 @@ def has_word(text: Column, word: str) -> Column:
     return text.contains(word) & text.rlike(whole_word(word))
 
 
+def named(checks: Sequence[tuple[str, Column]]) -> Column:
+    """The names of the checks that hold, in order.  (A concatenation of arrays is compiled; taking nulls out of one is not.)"""
+    none = F.array().cast("array<string>")
+    each = [F.when(F.coalesce(c, F.lit(False)), F.array(F.lit(name))).otherwise(none) for name, c in checks]
+    return F.concat(*each) if each else none
+
+
 def words_found(text: Column, words: Sequence[str]) -> Column:
     """Those of ``words`` that stand in ``text`` as whole words, in their own order.  ``text`` is lower-cased already."""
-    return F.array_compact(F.array(*(F.when(has_word(text, w), F.lit(w)) for w in words))) if words else F.array().cast("array<string>")
+    return named([(w, has_word(text, w)) for w in words])
 
 
 def any_word(text: Column, words: Sequence[str]) -> Column:
@@ -45,7 +52,7 @@ def reject_signals(caption: Column, reject: Sequence[str], paired: Sequence[str]
 
 def substrings_found(text: Column, words: Sequence[str]) -> Column:
     """Those of ``words`` that ``text`` contains anywhere, in their own order."""
-    return F.array_compact(F.array(*(F.when(text.contains(w), F.lit(w)) for w in words))) if words else F.array().cast("array<string>")
+    return named([(w, text.contains(w)) for w in words])
 
 
 def blocked_tags(tags: Column, blocked: Sequence[str]) -> Column:

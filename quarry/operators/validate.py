@@ -42,7 +42,7 @@ def structural(items: DataFrame, config: DatasetConfig, native: Sequence[tuple[i
         checks.append(("high_compression", (F.col("format") == "JPEG") & (F.col("avg_quantization") > config.max_avg_quantization)))
     if config.exif_tags:
         checks.append(("camera_exif", F.size(F.coalesce(F.array_intersect("camera_exif_tags", F.array(*map(F.lit, config.exif_tags))), F.array())) > 0))
-    flags = F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(False)), F.lit(name)) for name, c in checks)))
+    flags = text.named(checks)
     flagged = items.withColumn("flags", F.when(~F.col("opened"), F.array(F.lit("cannot_open"))).otherwise(flags))
     return flagged.withColumn("structural_passed", F.size("flags") == 0).withColumn("bpp", shapes.bits_per_pixel(F.col("file_size"), w, h))
 
@@ -54,7 +54,7 @@ def reclassified(captions: DataFrame, config: DatasetConfig) -> DataFrame:
     """
     found = text.reject_signals(F.col("caption"), config.reject, config.paired, config.indicators)
     both = F.array_sort(F.array_union(F.coalesce("reject_signals", F.array().cast("array<string>")), F.when(F.col("caption").isNotNull(), found).otherwise(F.array().cast("array<string>"))))
-    return captions.withColumn("reject_signals", both).withColumn("should_reject", F.coalesce("should_reject", F.lit(False)) | (F.size(both) > 0))
+    return captions.withColumn("reject_signals", both).withColumn("should_reject", F.coalesce("should_reject", F.lit(False)) | (F.size("reject_signals") > 0))
 
 
 def content_rejected() -> Column:
@@ -80,7 +80,7 @@ def decide(items: DataFrame, captions: DataFrame, scores: DataFrame, relaxed: bo
         tests.append(("high_compression", has("high_compression")))
     if fsd_mode == "filter":
         tests.append(("fsd_real", F.coalesce("__scored", F.lit(False)) & ~F.coalesce("is_fake", F.lit(False))))
-    reasons = F.array_compact(F.array(*(F.when(c, F.lit(name)) for name, c in tests)))
+    reasons = text.named(tests)
     rejected_first = F.coalesce("__rejects", F.lit(False))
     waiting = ~looked_at | (F.col("__any_caption") & F.col("__captioned").isNull())
     tier = F.when(rejected_first, 0).when(~waiting, 1)
