@@ -24,7 +24,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 CHUNK_BYTES = 1 << 20
 #: Short rows (two keys and a count) up to which a table of decisions is broadcast.
 BROADCAST_ROWS = 500_000
-M64 = (1 << 64) - 1
+ROWS_A_PARTITION = 100_000
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words of ASCII digits, letters and anything beyond ASCII; and words of anything but white space.
@@ -72,10 +72,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{hadoop.toString()}/{name}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared folder; its lineage ends there, and Spark's cleaner removes it."""
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` computed once and kept in the shared folder; its lineage ends there, and Spark's cleaner removes it.  Where it is
+    known that the work is on so many rows at most, they go to no more partitions (and files) than these need."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df if rows is None else df.coalesce(max(1, -(-rows // ROWS_A_PARTITION)))).checkpoint(eager=True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -127,7 +127,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         dealt = active.withColumn("bucket", F.pmod(F.xxhash64("u1", "u2", F.lit(level), F.lit(seed)), F.greatest(F.lit(1), F.ceil(F.col("units") / F.lit(float(BUCKET**level))))))
         order = F.struct(F.xxhash64("u2", "u1", F.lit(level), F.lit(seed)).alias("o"), "u1", "u2", "size", "x")
         entries = F.transform(F.array_sort(F.collect_list(order)), lambda e: F.struct(e["u1"].alias("u1"), e["u2"].alias("u2"), e["size"].alias("size"), e["x"].alias("x")))
-        folded = C.cut(dealt.groupBy("source", "bucket").agg(F.first("units").alias("units"), entries.alias("entries")).select("source", "units", _fold(F.col("entries"), level, seed).alias("f")))
+        folded = C.cut(dealt.groupBy("source", "bucket").agg(F.first("units").alias("units"), entries.alias("entries")).select("source", "units", _fold(F.col("entries"), level, seed).alias("f")), buckets * n * BUCKET)
         decided.append(folded.select(F.explode("f.done").alias("d")).select("d.u1", "d.u2", "d.more"))
         active = folded.select("source", "units", "f.rest.*")
         if buckets <= 1:

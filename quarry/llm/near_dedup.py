@@ -305,14 +305,15 @@ def _remaining(around: DataFrame, sets: Callable[[DataFrame], DataFrame], percen
 def connected(links: DataFrame) -> DataFrame:
     """``node, comp``: the smallest node reachable over the links ``a, b``, for nodes that have links."""
     edges = C.cut(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = C.cut(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("comp")))
+    n = edges.count()
+    labels = C.cut(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select("node", F.least("node", "low").alias("comp")), n)
     while True:
         seen = edges.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("low"))
         hooked = labels.join(seen, "node").select("node", F.col("comp").alias("was"), F.least("comp", "low").alias("comp"))
         # a root that has seen a smaller label takes it to all that point to it
         roots = hooked.groupBy(F.col("was").alias("root")).agg(F.min("comp").alias("lowest"))
         jumped = hooked.join(roots, hooked["was"] == roots["root"]).select("node", "was", F.least("comp", "lowest").alias("comp"))
-        step = C.cut(jumped)
+        step = C.cut(jumped, n)
         labels = step.select("node", "comp")
         if not step.filter("was <> comp").limit(1).count():
             return labels
