@@ -36,7 +36,7 @@ ORDER = 4
 SAMPLE, SAMPLE_BYTES = 400, 2_000_000
 LONGEST = 200_000
 #: Symbols taken at a time: each takes about 150 bytes of memory.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 #: Languages up to which the table of their counts is broadcast: one short row each.
 BROADCAST_LANGUAGES = 10_000
 #: Probability of a symbol that no training text has, spread over this many.
