@@ -103,6 +103,21 @@ def capped(items: DataFrame, by: Sequence[str], order: Sequence[Column | str], m
     return items.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("__n") <= most).drop("__n")
 
 
+def numbered(items: DataFrame, by: str, order: str, name: str) -> DataFrame:
+    """``items`` with each one's place in its group, from 0, as ``name``.  Items are dealt by ranges of group and order; a range
+    numbers its own, after the counts of the ranges before it.  So no task sees a whole group.  Rows of equal order are in
+    one range and count in any order."""
+    path = f"{files.scratch(items.sparkSession, 'numbered')}/ranges"
+    items.repartitionByRange(F.col(by), F.col(order)).withColumn("__range", F.spark_partition_id()).write.parquet(path)
+    dealt = items.sparkSession.read.parquet(path)
+    before = Window.partitionBy("__by").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(F.col(by).alias("__by"), F.col("__range").alias("__r")).agg(F.count("*").alias("__count"))
+    starts = counts.select("__by", "__r", F.coalesce(F.sum("__count").over(before), F.lit(0)).alias("__start"))
+    place = F.row_number().over(Window.partitionBy("__range", by).orderBy(order)) - 1
+    met = dealt.withColumn("__place", place).join(starts, (F.col("__range") == F.col("__r")) & F.col(by).eqNullSafe(F.col("__by")))
+    return met.withColumn(name, F.col("__start") + F.col("__place")).select(*items.columns, name)
+
+
 def combinations(left: DataFrame, right: DataFrame, keep: Column | None = None) -> DataFrame:
     """Query combinations of two small dimension tables."""
     both = left.crossJoin(F.broadcast(right))

@@ -10,8 +10,22 @@ from quarry.functions.text import filled, platform
 
 def breakdown(items: DataFrame, key: Column, name: str) -> DataFrame:
     """``name``, ``n`` and ``percent`` of all."""
-    counts = items.groupBy(key.alias(name)).agg(F.count("*").alias("n"))
-    return counts.withColumn("percent", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()))
+    return _shares(items.groupBy(key.alias(name)).agg(F.count("*").alias("n")))
+
+
+def _whole(counts: DataFrame) -> DataFrame:
+    """One row: how many all keys have together, and the number of keys."""
+    return F.broadcast(counts.agg(F.sum("n").alias("__all"), F.count("*").alias("__keys")))
+
+
+def _shares(counts: DataFrame) -> DataFrame:
+    return counts.crossJoin(_whole(counts)).withColumn("percent", F.col("n") * 100.0 / F.col("__all")).drop("__all", "__keys")
+
+
+def _commonest(counts: DataFrame, name: str, top: int) -> DataFrame:
+    """The ``top`` commonest keys with their ``rank``; each task keeps so many, so only these are sorted together."""
+    order = [F.desc("n"), F.col(name)]
+    return counts.orderBy(*order).limit(top).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
 def source_breakdown(items: DataFrame) -> DataFrame:
@@ -23,17 +37,16 @@ def version_breakdown(items: DataFrame) -> DataFrame:
 
 
 def top_and_others(counts: DataFrame, name: str, top: int, others: str = "(others)") -> DataFrame:
-    """The ``top`` commonest, ties by name, and all the rest as one row.  ``counts``: name, n; a row for each key, so its window is small."""
-    place = F.row_number().over(Window.orderBy(F.desc("n"), name))
-    ranked = counts.withColumn("rank", F.least(place, F.lit(top + 1)))
-    label = F.when(F.col("rank") <= top, F.col(name)).otherwise(others)
-    return ranked.groupBy("rank", label.alias(name)).agg(F.sum("n").alias("n")).withColumn("percent", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()))
+    """The ``top`` commonest, ties by name, and all the rest as one row.  ``counts``: name, n; a row for each key, however many."""
+    first = _commonest(counts, name, top).select("rank", name, "n")
+    of_first = F.broadcast(first.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("__first")))
+    rest = _whole(counts).filter(F.col("__keys") > top).crossJoin(of_first).select(F.lit(top + 1).alias("rank"), F.lit(others).alias(name), (F.col("__all") - F.col("__first")).alias("n"))
+    return _shares(first.unionAll(rest))
 
 
 def top_if_several(counts: DataFrame, name: str, top: int) -> DataFrame:
     """The ``top`` commonest, if there is more than one."""
-    place, keys = F.row_number().over(Window.orderBy(F.desc("n"), name)), F.count("*").over(Window.partitionBy())
-    return counts.withColumn("rank", place).withColumn("__keys", keys).filter((F.col("rank") <= top) & (F.col("__keys") > 1)).drop("__keys")
+    return _commonest(counts, name, top).crossJoin(_whole(counts)).filter("__keys > 1").drop("__all", "__keys")
 
 
 def score_stats(scores: DataFrame, below: float = -2.0) -> DataFrame:

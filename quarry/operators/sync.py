@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.items import numbered
+
 
 def sync_plan(source: DataFrame, target: DataFrame, key: str, version: str) -> DataFrame:
     """What would make ``target`` a mirror of ``source``: copy, update, delete or keep, by key.  Nothing is carried out."""
@@ -15,11 +17,9 @@ def sync_plan(source: DataFrame, target: DataFrame, key: str, version: str) -> D
 
 def contact_sheet(items: DataFrame, by: str, order: str, src: str, caption: str, page: int = 500) -> DataFrame:
     """HTML sheets of at most ``page`` images each: ``by, page, n, html``."""
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.partitionBy(by).orderBy(order)) - 1
     escape = lambda c: F.replace(F.replace(F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
     cell = F.concat(F.lit('<figure><img src="'), escape(src), F.lit('"><figcaption>'), escape(caption), F.lit("</figcaption></figure>"))
-    cells = items.withColumn("__n", place).select(by, F.floor(F.col("__n") / page).cast("int").alias("page"), F.struct(F.col("__n").alias("k"), cell.alias("html")).alias("c"))
+    rows = numbered(items.select(*dict.fromkeys((by, order, src, caption))), by, order, "__n")
+    cells = rows.select(by, F.floor(F.col("__n") / page).cast("int").alias("page"), F.struct(F.col("__n").alias("k"), cell.alias("html")).alias("c"))
     sheets = cells.groupBy(by, "page").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("c")).alias("cells"))
     return sheets.select(by, "page", "n", F.concat(F.lit("<main>"), F.array_join(F.transform("cells", lambda c: c["html"]), "\n"), F.lit("</main>")).alias("html"))

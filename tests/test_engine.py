@@ -204,6 +204,22 @@ def test_sync_and_sheets(spark):
     assert [r.n for r in sheet] == [2, 1] and '<img src="x">' in sheet[0].html
 
 
+def test_numbered_across_ranges(spark):
+    rows = [("a", k) for k in range(500)] + [(None, k) for k in range(7)] + [("b", 3)]
+    df = spark.createDataFrame(rows, "by string, k int").repartition(5)
+    found = items.numbered(df, "by", "k", "n").collect()
+    assert sorted((r.by or "", r.k, r.n) for r in found) == sorted((b or "", k, k if b != "b" else 0) for b, k in rows)
+    assert items.numbered(df.limit(0), "by", "k", "n").count() == 0
+
+
+def test_commonest_and_the_rest(spark):
+    counts = spark.createDataFrame([("a", 5), ("b", 5), (None, 2), ("c", 8)], "s string, n bigint")
+    assert [(r.rank, r.s, r.n, r.percent) for r in stats.top_and_others(counts, "s", 2).orderBy("rank").collect()] == [(1, "c", 8, 40.0), (2, "a", 5, 25.0), (3, "(others)", 7, 35.0)]
+    assert [(r.rank, r.s) for r in stats.top_and_others(counts, "s", 4).orderBy("rank").collect()] == [(1, "c"), (2, "a"), (3, "b"), (4, None)]
+    assert stats.top_and_others(counts.limit(0), "s", 2).count() == 0
+    assert stats.top_if_several(counts.limit(1), "s", 2).count() == 0 and stats.top_if_several(counts, "s", 3).count() == 3
+
+
 # ---------------------------------------------------------------- sources
 
 
