@@ -1,7 +1,8 @@
 """What the operators of this subpackage share: session helpers, and tokenising and hashing of Arrow text in numpy.
 
 Texts are handled as the UTF-8 bytes Arrow holds, without a Python object for a text or a word.  Memory follows
-``CHUNK_BYTES``, not the batch or the partition; only a single text longer than that takes more (about 12 bytes a byte).
+``CHUNK_BYTES`` and ``BATCH_BYTES``, not the number of rows or the partition; only a single text longer than that takes
+more (about 12 bytes a byte).
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 CHUNK_BYTES = 1 << 20
+#: Bytes of a batch of rows that goes to Python, unless the session sets a limit: Spark's own counts rows alone.
+BATCH_BYTES = 8 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Short rows (two keys and a count) up to which a table of decisions is broadcast.
 BROADCAST_ROWS = 500_000
 ROWS_A_PARTITION = 100_000
@@ -40,11 +44,13 @@ SQL_SPACED = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPP
 
 def importable(spark: SparkSession) -> None:
     """In local mode, lets Python workers find this package wherever the driver was started.  (On a cluster it is deployed with
-    the job, as any package.)"""
+    the job, as any package.)  Where the session has no limit of bytes for batches, it gets ``BATCH_BYTES``."""
     context, root = spark.sparkContext, str(Path(__file__).resolve().parents[2])
     paths = context.environment.get("PYTHONPATH", "")
     if context.master.startswith("local") and root not in paths.split(os.pathsep):
         context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
+    if spark.conf.get(BATCH_LIMIT, None) is None:
+        spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -244,6 +250,16 @@ def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
         i = j
 
 
+def even_chunks(texts: pa.Array, about: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """As ``chunks``, in as many runs as there are times ``about`` bytes, all of nearly the same size."""
+    data, at = text_buffers(texts)
+    parts = max(1, round(len(data) / about))
+    ends = np.searchsorted(at, len(data) * np.arange(1, parts) // parts)
+    bounds = np.unique(np.concatenate(([0], ends, [len(at) - 1]))).tolist()
+    for i, j in zip(bounds[:-1], bounds[1:], strict=True):
+        yield i, j, data[at[i] : at[j]], at[i : j + 1] - at[i]
+
+
 def tokenize(data: np.ndarray, at: np.ndarray, word_class: str) -> Tokens:
     """Words of the texts ``data[at[i]:at[i+1]]``: maximal runs of ``word_class``, hashed with A-Z lower-cased."""
     n = len(data)

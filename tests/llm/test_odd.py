@@ -247,3 +247,23 @@ def test_very_long_texts(spark):
     assert language_id.accepted(docs).count() >= 1 and near_dedup.near_duplicates(docs).count() == 3
     assert shard.shard_documents(docs).count() == 3 and mix.mix_sources(docs).count() == 3
     assert url_filter.judge_urls(spark.createDataFrame([(1, "http://a.com/" + "b" * 2_000_000)], "page_id long, url string")).count() == 1
+
+
+def test_batches_follow_bytes(spark):
+    """Long texts come in batches of about ``BATCH_BYTES``, whatever their number; the runs that a batch is cut into are whole and even."""
+    common.importable(spark)
+    assert int(spark.conf.get(common.BATCH_LIMIT)) == common.BATCH_BYTES
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    long = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 200_000).alias("t"))
+    assert max(r.n for r in long.mapInArrow(sizes, "n bigint").collect()) <= common.BATCH_BYTES + 400_000
+    texts = pa.array(["", "a" * 10, None, "b" * 25, "c" * 5, "", "d" * 100, "e"])
+    for about in (1, 20, 60, 1000):
+        runs = list(common.even_chunks(texts, about))
+        assert [i for i, *_ in runs] == [0, *(j for _, j, *_ in runs[:-1])] and runs[-1][1] == len(texts)
+        assert b"".join(d.tobytes() for _, _, d, _ in runs) == "".join(x or "" for x in texts.to_pylist()).encode()
+        assert all(len(at) == j - i + 1 and at[-1] == len(d) for i, j, d, at in runs)
+    assert list(common.even_chunks(texts[:0], 5)) == []
