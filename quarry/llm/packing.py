@@ -9,7 +9,7 @@
 What remains after the last full sequence is cut in descending powers of two, which need no padding: there is none at all.
 ``sequences`` gathers the pieces, at most ``width`` tokens each.
 
-Tokens are written once, two bytes each where the vocabulary allows it, and then meet their places: these are broadcast up to
+Tokens are written once, two bytes each (the vocabulary has fewer than 65,536), and then meet their places: these are broadcast up to
 ``BROADCAST_ROWS`` documents and joined by a shuffle beyond.  Copies share a key and are told apart by hash and row, so a range
 boundary can fall between them.
 
@@ -21,6 +21,7 @@ An empty table gives no pieces.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,15 +44,21 @@ BLOCK = 512
 
 
 def encoded(text: str, raw: bytes, pattern: str = T.PATTERN, special: tuple[str, int] = SPECIAL, end: int = END) -> np.ndarray:
-    """The ids of a text, and ``end``."""
+    """The ids of a text, and ``end``.  A long run of white space is encoded apart, as ``token_counts`` does."""
     encoder, _ = T._encoder(raw, pattern)
-    out: list[object] = []
+    ids = array("H")
     for k, part in enumerate(text.split(special[0])):
         if k:
-            out.append([special[1]])
-        out.extend(T._encoded(encoder, part))
-    out.append([end])
-    return np.concatenate([np.asarray(x, np.uint32) for x in out])
+            ids.append(special[1])
+        a = 0
+        for run in T.LONG_RUN.finditer(part):
+            z = run.end() - (run.end() < len(part))
+            ids.extend(encoder.encode_ordinary(part[a : run.start()]))
+            ids.extend(encoder._encode_single_piece(part[run.start() : z]))
+            a = z
+        ids.extend(encoder.encode_ordinary(part[a:] if a else part))
+    ids.append(end)
+    return np.frombuffer(ids, np.uint16)
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -79,7 +86,7 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _directions() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket and sign of each 16-bit remainder of an id, and the projection."""
+    """Bucket and sign of each id, and the projection."""
     rng = np.random.default_rng(12)
     return rng.integers(0, BUCKETS, 1 << 16), rng.choice([-1.0, 1.0], 1 << 16), rng.standard_normal((BUCKETS, DIMENSIONS))
 
@@ -92,7 +99,7 @@ def curve_keys(documents: list[np.ndarray]) -> np.ndarray:
     keys = [np.zeros(0, np.int64)]
     for a in range(0, len(documents), BLOCK):
         block = documents[a : a + BLOCK]
-        ids = np.concatenate(block).astype(np.int64) & 0xFFFF
+        ids = np.concatenate(block).astype(np.int64)
         row = np.repeat(np.arange(len(block)), [len(d) for d in block])
         held = np.bincount(row * BUCKETS + BUCKET[ids], SIGN[ids], len(block) * BUCKETS).reshape(len(block), BUCKETS)
         held = np.sign(held) * np.sqrt(np.abs(held))
@@ -115,7 +122,7 @@ def encode(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, pattern
                 if k == len(batch) or size >= C.CHUNK_BYTES:
                     found = [encoded(texts[j].as_py() or "", sent.value, pattern) for j in range(at, k)]
                     row, ids, tie = (batch.column(c)[at:k] for c in range(3))
-                    yield pa.RecordBatch.from_arrays([row, ids, pa.array(curve_keys(found)), tie, pa.array([len(x) for x in found], pa.int64()), pa.array([x.astype("<u2").tobytes() for x in found], pa.binary())], names=names)
+                    yield pa.RecordBatch.from_arrays([row, ids, pa.array(curve_keys(found)), tie, pa.array([len(x) for x in found], pa.int64()), pa.array([x.astype("<u2", copy=False).tobytes() for x in found], pa.binary())], names=names)
                     at, size = k, 0
                 if k < len(batch):
                     size += len(texts[k].as_buffer() or b"")
