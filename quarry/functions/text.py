@@ -137,6 +137,11 @@ def platform(source: Column) -> Column:
     return F.split_part(filled(source), F.lit(":"), F.lit(1))
 
 
+def iso_time(at: Column) -> Column:
+    """A moment in UTC as ISO 8601 writes it, to the microsecond."""
+    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+
+
 # ---------------------------------------------------------------- chat messages
 
 EPOCH_MS = 1_420_070_400_000

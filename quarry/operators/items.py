@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry import session
 from quarry.functions import text
-from quarry.sources import files
+from quarry.session import importable
 
 
 def unseen(items: DataFrame, seen: DataFrame, on: str) -> DataFrame:
@@ -21,30 +23,100 @@ def present(items: DataFrame, listing: DataFrame, on: str = "filename") -> DataF
     return items.join(listing.select(on).distinct(), on, "left_semi")
 
 
+#: Items that one task settles one by one, in order of arrival.
+SETTLE = 1_000_000
+
+
+def _first_of_both(left: DataFrame) -> DataFrame:
+    """Items that are the first of their URL and of their content."""
+    first = {c: left.groupBy(F.col(c).alias(f"{c}_")).agg(F.min("at").alias(f"at_{c}")) for c in ("u", "h")}
+    both = left.join(first["u"], (F.col("u") == F.col("u_")) & (F.col("at") == F.col("at_u"))).join(first["h"], (F.col("h") == F.col("h_")) & (F.col("at") == F.col("at_h")))
+    return both.select(*left.columns)
+
+
+def _settled(left: DataFrame, group: str) -> DataFrame:
+    """``__id`` of the items that are taken where each group's are looked at one by one; no group has more than ``SETTLE``."""
+    importable(left.sparkSession)
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, urls, contents = None, set(), set()
+        for batch in batches:
+            taken = []
+            for item, g, u, h in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if g != now:
+                    now, urls, contents = g, set(), set()
+                if u not in urls and h not in contents:
+                    urls.add(u)
+                    contents.add(h)
+                    taken.append(item)
+            yield pa.RecordBatch.from_arrays([pa.array(taken, pa.int64())], names=["__id"])
+
+    in_order = left.repartition(group).sortWithinPartitions(group, "at").select("__id", group, F.to_json("u").alias("u"), F.to_json("h").alias("h"))
+    return in_order.mapInArrow(settle, "__id bigint")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``node, component`` (the smallest node that is connected with it) of undirected edges ``a, b`` of longs.  By stars: each node's
+    neighbours are tied to the smallest of them, larger and smaller ones in turn, until nothing changes, which takes about as many rounds
+    as the logarithm of the longest path, squared at worst.  Every round is written, so that lineage ends there."""
+    now, state, step = session.written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"), None, 0
+
+    def tied(pairs: DataFrame, all_of_them: bool) -> DataFrame:
+        low = pairs.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("low")).withColumn("low", F.least("n", "low"))
+        met = pairs.join(low, F.col("a") == F.col("n"))
+        if all_of_them:  # larger neighbours, of pairs in both directions
+            return met.filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        return met.select(F.col("a"), F.col("low").alias("b")).unionAll(met.filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")))
+
+    while True:
+        both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        step += 1
+        now = session.written(tied(tied(both, True).distinct(), False).filter("a <> b").distinct(), f"stars{step}")
+        held = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if held == state:
+            break
+        state = held
+    nodes = edges.select(F.col("a").alias("node")).unionAll(edges.select(F.col("b").alias("node"))).distinct()
+    return nodes.join(now.select(F.col("a").alias("node"), F.col("b").alias("component")), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def first_arrivals(items: DataFrame, url: str, content_hash: str, order: Sequence[str]) -> DataFrame:
     """``outcome`` of each item in order of arrival: ok, dup_url or dup_hash.
 
-    An item is taken unless one that was taken before has its URL or its content.  In rounds: of the items left, those that
-    are the first of their URL and of their content are taken, and all that share either with them go.  Where a URL always has
-    the same content, that is one round; else there are as many as the longest chain of items that wait for each other.
+    An item is taken unless one that was taken before has its URL or its content.  First, in one round: those that are the first of
+    their URL and of their content are taken, and all that share either with them go.  Where a URL always has the same content,
+    nothing is left.  What is left are chains of items that wait for each other: a counted number up to ``SETTLE`` is looked at one by
+    one in a task; of more, each connected component of URLs and contents is, in tasks of its own; and the items of a
+    component above ``SETTLE`` go through another round first.
+
     Nulls count as values.  Rows of equal order count in any order.
     """
-    spark, base = items.sparkSession, files.scratch(items.sparkSession, "arrivals")
 
-    def written(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{base}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+    def rest_of(left: DataFrame, new: DataFrame) -> DataFrame:
+        return left.join(new.select("u"), "u", "left_anti").join(new.select("h"), "h", "left_anti").select("__id", "u", "h", "at")
 
-    every = written(items.withColumn("__id", F.monotonically_increasing_id()), "items")
+    every = session.written(items.withColumn("__id", F.monotonically_increasing_id()), "arrivals")
     left = every.select("__id", F.struct(url).alias("u"), F.struct(content_hash).alias("h"), F.struct(*order, "__id").alias("at"))
-    step, taken = 0, left.limit(0)
-    while not left.isEmpty():
-        step += 1
-        first = {c: left.groupBy(F.col(c).alias(f"{c}_")).agg(F.min("at").alias(f"at_{c}")) for c in ("u", "h")}
-        both = left.join(first["u"], (F.col("u") == F.col("u_")) & (F.col("at") == F.col("at_u"))).join(first["h"], (F.col("h") == F.col("h_")) & (F.col("at") == F.col("at_h")))
-        new = written(both.select("__id", "u", "h", "at"), f"taken{step}")
-        taken = taken.unionAll(new)
-        left = written(left.join(new.select("u"), "u", "left_anti").join(new.select("h"), "h", "left_anti").select("__id", "u", "h", "at"), f"left{step}")
+    taken = None
+    while True:
+        new = session.written(_first_of_both(left), "taken")
+        taken = new if taken is None else taken.unionAll(new)
+        left = session.written(rest_of(left, new), "left")
+        n = left.count()
+        if not n:
+            break
+        if n <= SETTLE:
+            small, left = left.withColumn("__group", F.lit(0)), None
+        else:
+            keyed = left.withColumns({"a": F.xxhash64(F.lit("url"), "u"), "b": F.xxhash64(F.lit("content"), "h")})
+            found = session.written(components(keyed.select("a", "b")), "components").withColumnRenamed("component", "__group")
+            grouped = session.written(keyed.join(found, F.col("a") == F.col("node")).select(*left.columns, "__group"), "grouped")
+            sizes = grouped.groupBy("__group").agg((F.count("*") <= SETTLE).alias("few"))
+            small = grouped.join(sizes.filter("few"), "__group", "left_semi")
+            left = session.written(grouped.join(sizes.filter("NOT few"), "__group", "left_semi").drop("__group"), "left")
+        taken = taken.unionAll(session.written(small.join(_settled(small, "__group"), "__id", "left_semi").select(*taken.columns), "settled"))
+        if left is None or left.isEmpty():
+            break
     by_id, by_url = taken.select("__id", F.lit(True).alias("__ok")), taken.select(F.col("u").alias("__u"), F.col("at").alias("__at"))
     met = every.join(by_id, "__id", "left").join(by_url, F.struct(url) == F.col("__u"), "left")
     outcome = F.when(F.col("__ok"), "ok").when(F.col("__at") < F.struct(*order, "__id"), "dup_url").otherwise("dup_hash")
@@ -57,11 +129,11 @@ def one_of_each(items: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 
 def new_items(candidates: DataFrame, manifest: DataFrame, order: Sequence[str], min_pixels: int = 200_000) -> DataFrame:
-    """Candidates (url, content_hash, width, height) to be taken: neither URL nor content in the manifest, the first of each
-    content among them, and not too small."""
-    fresh = unseen(unseen(candidates, manifest, "url"), manifest, "content_hash")
-    firsts = first_arrivals(fresh, "url", "content_hash", order).filter("outcome = 'ok'").drop("outcome")
-    return firsts.filter(large_enough(F.col("width").cast("bigint") * F.col("height"), min_pixels))
+    """Candidates (url, content_hash, width, height) to be taken: not too small, neither URL nor content in the manifest or among those
+    taken before.  What is too small is not remembered: a URL that gives a large image later is taken then."""
+    large = candidates.filter(large_enough(F.col("width").cast("bigint") * F.col("height"), min_pixels))
+    fresh = unseen(unseen(large, manifest, "url"), manifest, "content_hash")
+    return first_arrivals(fresh, "url", "content_hash", order).filter("outcome = 'ok'").drop("outcome")
 
 
 def produced(*producers: DataFrame) -> DataFrame:
@@ -73,9 +145,11 @@ def produced(*producers: DataFrame) -> DataFrame:
 
 
 def until_target(items: DataFrame, by: str, order: Sequence[str], target: int) -> DataFrame:
-    """``by, n, reached, taken``: how many items each group has, whether that reaches the target, and how many are taken."""
-    counts = items.groupBy(by).agg(F.count("*").alias("n"))
-    return counts.select(by, "n", (F.col("n") >= target).alias("reached"), F.least("n", F.lit(target)).alias("taken"))
+    """The items that are taken until each group has its target: the first in order, with ``reached``.  Tasks drop the rest before the
+    shuffle."""
+    counts = items.groupBy(F.col(by).alias("__by")).agg((F.count("*") >= target).alias("reached"))
+    taken = capped(items, [by], order, target)
+    return taken.join(counts, F.col(by).eqNullSafe(F.col("__by"))).drop("__by")
 
 
 def page_counts(found: DataFrame, listing: str, page: str, key: str, order: Sequence[str]) -> DataFrame:
@@ -107,7 +181,7 @@ def numbered(items: DataFrame, by: str, order: str, name: str) -> DataFrame:
     """``items`` with each one's place in its group, from 0, as ``name``.  Items are dealt by ranges of group and order; a range
     numbers its own, after the counts of the ranges before it.  So no task sees a whole group.  Rows of equal order are in
     one range and count in any order."""
-    path = f"{files.scratch(items.sparkSession, 'numbered')}/ranges"
+    path = session.scratch(items.sparkSession, "numbered")
     items.repartitionByRange(F.col(by), F.col(order)).withColumn("__range", F.spark_partition_id()).write.parquet(path)
     dealt = items.sparkSession.read.parquet(path)
     before = Window.partitionBy("__by").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)

@@ -11,10 +11,9 @@ from quarry.functions.text import filled
 
 Rungs = list[tuple[Column, str]]
 
-# Versions by flair, after the common start of it.
-ONSITE = "onsite:model_version:"
-FLUX1_VERSIONS = {"691639": "dev", "699279": "schnell", "922358": "pro_1.1", "1088507": "pro_1.1_ultra", "1892509": "kontext_pro", "2068000": "krea_dev"}
-FLUX2_VERSIONS = {"2439047": "max", "2439067": "dev", "2439442": "pro", "2547175": "flex"}
+# Versions by flair.
+FLUX1_VERSIONS = {"onsite:model_version:691639": "dev", "onsite:model_version:699279": "schnell", "onsite:model_version:922358": "pro_1.1", "onsite:model_version:1088507": "pro_1.1_ultra", "onsite:model_version:1892509": "kontext_pro", "onsite:model_version:2068000": "krea_dev"}
+FLUX2_VERSIONS = {"onsite:model_version:2439047": "max", "onsite:model_version:2439067": "dev", "onsite:model_version:2439442": "pro", "onsite:model_version:2547175": "flex"}
 
 
 def ladder(rungs: Rungs, otherwise: str) -> Column:
@@ -32,7 +31,7 @@ def _has(part: str, *cols: Column) -> Column:
 
 
 def _onsite(source: Column, flair: Column, versions: dict[str, str]) -> Rungs:
-    return [((source == "civitai") & (flair == ONSITE + k), label) for k, label in versions.items()]
+    return [((source == "civitai") & (flair == k), label) for k, label in versions.items()]
 
 
 def _grok(source: Column, flair: Column) -> Column:

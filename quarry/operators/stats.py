@@ -45,8 +45,9 @@ def top_and_others(counts: DataFrame, name: str, top: int, others: str = "(other
 
 
 def top_if_several(counts: DataFrame, name: str, top: int) -> DataFrame:
-    """The ``top`` commonest, if there is more than one."""
-    return _commonest(counts, name, top).crossJoin(_whole(counts)).filter("__keys > 1").drop("__all", "__keys")
+    """The ``top`` commonest, if there is more than one key.  They alone are sorted: two of them show that there are several."""
+    first = _commonest(counts, name, max(top, 2))
+    return first.withColumn("__keys", F.count("*").over(Window.partitionBy())).filter((F.col("__keys") > 1) & (F.col("rank") <= top)).drop("__keys")
 
 
 def score_stats(scores: DataFrame, below: float = -2.0) -> DataFrame:

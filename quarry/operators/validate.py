@@ -67,10 +67,11 @@ def decide(items: DataFrame, captions: DataFrame, scores: DataFrame, relaxed: bo
     1 by structure and score, null if it stays.
 
     ``items``: filename and what ``structural`` adds; ``captions`` as ``reclassified`` gives them; ``scores``: filename, z_score,
-    is_fake.  Captions and scores have a row for each file name at most.  ``fsd_mode`` tag leaves scores out of the decision.
+    is_fake.  Of several captions of a name any that rejects counts; of several scores the lowest (a null above none, then not fake first).
+    ``fsd_mode`` tag leaves scores out of the decision.
     """
-    caption = captions.select("filename", content_rejected().alias("__rejects"), F.lit(True).alias("__captioned"))
-    score = scores.select("filename", "z_score", "is_fake", F.lit(True).alias("__scored"))
+    caption = captions.groupBy("filename").agg(F.max(content_rejected()).alias("__rejects")).withColumn("__captioned", F.lit(True))
+    score = scores.groupBy("filename").agg(F.min(F.struct("z_score", "is_fake")).alias("s")).select("filename", "s.z_score", "s.is_fake", F.lit(True).alias("__scored"))
     any_caption = captions.limit(1).agg((F.count("*") > 0).alias("__any_caption"))  # one row
     joined = items.join(caption, "filename", "left").join(score, "filename", "left").crossJoin(F.broadcast(any_caption))
     has = lambda flag: F.array_contains("flags", flag)
@@ -106,12 +107,13 @@ def reason_histogram(decided: DataFrame) -> DataFrame:
     return kinds.agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason")
 
 
-def report(decided: DataFrame, threshold: float = DETECTED_BELOW, relaxed: bool = True) -> DataFrame:
-    """One row of JSON: totals and reasons over what tier 1 decided."""
+def report(decided: DataFrame, threshold: float = DETECTED_BELOW, relaxed: bool = True, at: Column | None = None) -> DataFrame:
+    """One row of JSON: when it was made (``at``: else now), totals and reasons over what tier 1 decided."""
+    made = text.iso_time(F.current_timestamp() if at is None else at)
     looked_at = decided.filter("tier = 1")
     totals = looked_at.agg(F.count("*").alias("total"), F.count_if(F.col("state") == "images").alias("passed"), F.count_if(F.col("state") == "rejected").alias("rejected"))
     reasons = reason_histogram(decided).agg(F.coalesce(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))).alias("rejection_reasons"))
-    whole = totals.crossJoin(F.broadcast(reasons)).select("total", "passed", "rejected", F.lit(threshold).alias("fsd_threshold"), F.lit(relaxed).alias("relaxed_mode"), "rejection_reasons")
+    whole = totals.crossJoin(F.broadcast(reasons)).select(made.alias("timestamp"), "total", "passed", "rejected", F.lit(threshold).alias("fsd_threshold"), F.lit(relaxed).alias("relaxed_mode"), "rejection_reasons")
     return whole.select(F.to_json(F.struct("*")).alias("report"))
 
 
@@ -129,3 +131,9 @@ def reviewed(items: DataFrame, classes: DataFrame) -> DataFrame:
     state = F.when(staged & (F.col("category") == "ai_art"), "images").when(staged & F.col("category").isNotNull(), "rejected").otherwise(F.col("state"))
     action = F.when(F.col("category").isNull(), "none").when(staged, "moved").otherwise("not_found")
     return both.withColumn("action", F.coalesce(action, F.lit("not_found"))).withColumn("state", state)
+
+
+def review_counts(reviewed_items: DataFrame) -> DataFrame:
+    """How many items a review moved to each state, and how many classes had no item: ``action, state, n``."""
+    state = F.when(F.col("action") == "moved", F.col("state"))
+    return reviewed_items.groupBy("action", state.alias("state")).agg(F.count("*").alias("n"))

@@ -5,14 +5,16 @@ The pages' JSON is made of the driver's tables by arithmetic on their keys, whic
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry import schemas
+from quarry.config import DatasetConfig
 from quarry.functions import shapes, text
 from quarry.operators import items, validate
 from quarry.plans.queries import query, table
 from quarry.sources import files, imagebytes, listings
+from quarry.sources.versions import Table
 from quarry.streaming import incremental
 
 K = "p_partkey"
@@ -153,21 +155,29 @@ def listing_twitter_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- what is asked, and accounts
 
 
-@query("SELECT 'recraftv3' AS model, t AS image_type FROM (VALUES " + ", ".join(f"('{t}')" for t in listings.RECRAFT_TYPES) + ") v(t) UNION ALL SELECT m, 'any' FROM (VALUES ('recraftv4'), ('recraftv4_raster'), ('recraftv4_pro_raster')) v(m)")
+SQL_RECRAFT = "SELECT 'recraftv3' AS model, t AS image_type FROM (VALUES " + ", ".join(f"('{t}')" for t in listings.RECRAFT_TYPES) + ") v(t) UNION ALL SELECT m, 'any' FROM (VALUES ('recraftv4'), ('recraftv4_raster'), ('recraftv4_pro_raster')) v(m)"
+
+
+@query(f"""SELECT model, image_type, count({K}) AS n FROM ({SQL_RECRAFT}) LEFT JOIN (SELECT {K}, CASE WHEN {K} % 4 = 0 THEN 'any' ELSE [{', '.join(repr(t) for t in listings.RECRAFT_TYPES)}][{K} % 16 + 1] END AS t,
+    CASE {K} % 8 WHEN 0 THEN 'recraftv4' WHEN 4 THEN 'recraftv4_raster' ELSE 'recraftv3' END AS m FROM part) ON m = model AND t = image_type GROUP BY ALL""")
 def recraft_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return listings.recraft_queries(spark)
+    """How many items each query that is asked has brought."""
+    kind = F.when(F.col(K) % 4 == 0, "any").otherwise(F.get(F.array(*map(F.lit, listings.RECRAFT_TYPES)), (F.col(K) % 16).cast("int")))
+    model = F.when(F.col(K) % 8 == 0, "recraftv4").when(F.col(K) % 8 == 4, "recraftv4_raster").otherwise("recraftv3")
+    brought = table(spark, sf_dir, "part").groupBy(model.alias("model"), kind.alias("image_type")).agg(F.count("*").alias("n"))
+    return listings.recraft_queries(spark).join(brought, ["model", "image_type"], "left").select("model", "image_type", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @query("""SELECT 'list' AS kind, n_name AS target, sort, win AS "window" FROM nation, (VALUES ('new'), ('hot'), ('top'), ('rising')) s(sort), (VALUES ('all'), ('year'), ('month'), ('week')) w(win)
-    UNION ALL SELECT 'search', 'a b', sort, win FROM (VALUES ('relevance'), ('new'), ('top')) s(sort), (VALUES ('all'), ('year'), ('month')) w(win)""")
+    UNION ALL SELECT 'search', r_name, sort, win FROM region, (VALUES ('relevance'), ('new'), ('top')) s(sort), (VALUES ('all'), ('year'), ('month')) w(win)""")
 def reddit_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return listings.reddit_queries(spark, [r.n_name for r in table(spark, sf_dir, "nation").select("n_name").collect()], ["a b"])
+    return listings.reddit_queries(table(spark, sf_dir, "nation").select(F.col("n_name").alias("target")), table(spark, sf_dir, "region").select(F.col("r_name").alias("target")))
 
 
-@query(f"SELECT {K} AS id, p_name AS name FROM part WHERE {K} % 3 = 0 AND regexp_matches(p_name, '[0-9]*[05]$')")
+@query(f"SELECT {K} AS id, p_name AS name FROM part WHERE {K} % 3 = 0 AND regexp_matches(p_name, 'ring$|^hot') AND p_name IN ('small ring', 'hot gear', 'hot ring')")
 def target_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     channels = table(spark, sf_dir, "part").select(F.col(K).alias("id"), (F.col(K) % 3).cast("int").alias("type"), F.col("p_name").alias("name"))
-    return listings.target_channels(channels, r"[0-9]*[05]$").select("id", "name")
+    return listings.target_channels(channels, "ring$|^hot", ["small ring", "hot gear", "hot ring"]).select("id", "name")
 
 
 @query("SELECT p_brand AS username, 'tier' || max(p_size) AS tier FROM part GROUP BY 1")
@@ -181,32 +191,30 @@ def account_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 MANIFEST = [c.split()[0] for c in schemas.MANIFEST.split(", ")]
 
 
-@query("""SELECT 'f' || doc_id || '.png' AS filename, source, sha256(replace(text, chr(13), '')) AS title, CAST(n_chars AS VARCHAR) AS width, '' AS flair FROM documents WHERE text IS NOT NULL AND doc_id % 2 = 0
-    UNION ALL SELECT 'g' || doc_id || '.png', source, sha256('he said "x",' || chr(10) || 'and left'), '', 'a,b' FROM documents WHERE doc_id % 2 = 1""")
+@query("""SELECT 'f' || doc_id || '.png' AS filename, source, sha256(text) AS title, CAST(n_chars AS VARCHAR) AS width, '' AS flair FROM documents WHERE text IS NOT NULL AND doc_id % 2 = 0
+    UNION ALL SELECT 'g' || doc_id || '.png', source, sha256('he said "x",' || chr(13) || chr(10) || 'and left'), '', 'a,b' FROM documents WHERE doc_id % 2 = 1""")
 def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A manifest appended to twice and read again: quotes, commas and newlines inside, absent fields empty."""
+    """A manifest appended to twice and read again in ranges: whole texts with quotes, commas and newlines inside, absent fields empty."""
     docs, to = table(spark, sf_dir, "documents"), files.scratch(spark, "manifest")
-    title = F.replace("text", F.lit("\r"), F.lit(""))
-    first = {"filename": F.concat(F.lit("f"), "doc_id", F.lit(".png")), "source": F.col("source"), "post_title": title, "width": F.col("n_chars").cast("string")}
-    second = {"filename": F.concat(F.lit("g"), "doc_id", F.lit(".png")), "source": F.col("source"), "post_title": F.lit('he said "x",\nand left'), "flair": F.lit("a,b")}
+    first = {"filename": F.concat(F.lit("f"), "doc_id", F.lit(".png")), "source": F.col("source"), "post_title": F.col("text"), "width": F.col("n_chars").cast("string")}
+    second = {"filename": F.concat(F.lit("g"), "doc_id", F.lit(".png")), "source": F.col("source"), "post_title": F.lit('he said "x",\r\nand left'), "flair": F.lit("a,b")}
     for rows, own in ((docs.filter("text IS NOT NULL AND doc_id % 2 = 0"), first), (docs.filter("doc_id % 2 = 1"), second)):
         files.append_manifest(rows.select(*(own.get(c, F.lit(None).cast("string")).alias(c) for c in MANIFEST)), to)
     return files.read_manifest(spark, to).select("filename", "source", F.sha2("post_title", 256).alias("title"), "width", "flair")
 
 
-@query("""SELECT doc_id || '.jpg' AS filename, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE left(text, 40) END AS caption, CASE WHEN doc_id % 4 = 0 THEN true END AS should_reject, CASE WHEN doc_id % 5 = 0 THEN 'a,b' ELSE '' END AS signals, CASE WHEN doc_id % 7 = 0 THEN 'late' END AS error FROM documents""")
+@query("""SELECT doc_id || '.jpg' AS filename, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE sha256(text) END AS caption, CASE WHEN doc_id % 4 = 0 THEN true END AS should_reject, CASE WHEN doc_id % 5 = 0 THEN 'a,b' ELSE '' END AS signals, CASE WHEN doc_id % 7 = 0 THEN 'late' END AS error FROM documents""")
 def caption_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captions in JSON objects by file name, one object a file, absent fields null."""
+    """Whole texts as captions in JSON objects by file name, each object read in ranges, absent fields null."""
     entry = F.struct(
-        F.when(F.col("doc_id") % 3 != 0, F.left("text", F.lit(40))).alias("caption"),
+        F.when(F.col("doc_id") % 3 != 0, F.col("text")).alias("caption"),
         F.when(F.col("doc_id") % 4 == 0, True).alias("should_reject"),
         F.when(F.col("doc_id") % 5 == 0, F.array(F.lit("a"), F.lit("b"))).alias("reject_signals"),
         F.when(F.col("doc_id") % 7 == 0, "late").alias("error"),
     )
-    rows = table(spark, sf_dir, "documents").select((F.col("doc_id") % 8).alias("file"), F.struct(F.concat("doc_id", F.lit(".jpg")).alias("key"), entry.alias("value")).alias("e"))
     to = files.scratch(spark, "captions")
-    rows.groupBy("file").agg(F.to_json(F.map_from_entries(F.collect_list("e"))).alias("value")).write.partitionBy("file").text(to)
-    return files.read_captions(spark, f"{to}/*/").select("filename", "caption", "should_reject", F.coalesce(F.array_join("reject_signals", ","), F.lit("")).alias("signals"), "error")
+    files.write_json_map(table(spark, sf_dir, "documents").select(F.concat("doc_id", F.lit(".jpg")).alias("key"), entry.alias("value")), "key", "value", to)
+    return files.read_captions(spark, to).select("filename", F.sha2("caption", 256).alias("caption"), "should_reject", F.coalesce(F.array_join("reject_signals", ","), F.lit("")).alias("signals"), "error")
 
 
 @query("SELECT event_id || '.png' AS filename, TRY_CAST(CASE WHEN event_type = 'error' THEN 'x' ELSE CAST(CAST(value AS DECIMAL(18, 2)) AS VARCHAR) END AS DOUBLE) AS z_score, event_id % 2 = 0 AS is_fake FROM events")
@@ -222,19 +230,18 @@ def score_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id || '.png' AS filename, CASE WHEN quality = 1 THEN 'ai_art' ELSE 'meme' END AS category FROM labels")
 def classification_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "labels").select((F.col("doc_id") % 4).alias("file"), F.struct(F.concat("doc_id", F.lit(".png")).alias("key"), F.when(F.col("quality") == 1, "ai_art").otherwise("meme").alias("value")).alias("e"))
     to = files.scratch(spark, "classes")
-    rows.groupBy("file").agg(F.to_json(F.map_from_entries(F.collect_list("e"))).alias("value")).write.partitionBy("file").text(to)
-    return files.read_classifications(spark, f"{to}/*/")
+    files.write_json_map(table(spark, sf_dir, "labels").select(F.concat("doc_id", F.lit(".png")).alias("key"), F.when(F.col("quality") == 1, "ai_art").otherwise("meme").alias("value")), "key", "value", to)
+    return files.read_classifications(spark, to)
 
 
-@query("SELECT doc_id || '.jpg' AS filename, 'second' AS caption FROM labels UNION ALL SELECT doc_id || '.jpg', 'first' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+@query("SELECT doc_id || '.jpg' AS filename, 'run ' || list_max(list_filter(range(0, 6), lambda k: doc_id % (k + 1) = 0)) AS caption, n_chars > 2000 AS should_reject FROM documents")
 def caption_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captions added run by run; the last of a file counts."""
-    to = files.scratch(spark, "log")
-    for order, (name, caption) in enumerate((("documents", "first"), ("labels", "second"))):
-        files.write_captions(table(spark, sf_dir, name).select(F.concat("doc_id", F.lit(".jpg")).alias("filename"), F.lit(caption).alias("caption"), F.lit(order).alias("written")), to)
-    return files.latest_captions(spark.read.schema("filename string, caption string, written int").json(to)).select("filename", "caption")
+    """Captions added run by run; the last of a file counts.  Runs are merged as they come, and no superseded one is read."""
+    log, docs = files.CaptionLog(spark, files.scratch(spark, "log"), fan=3), table(spark, sf_dir, "documents")
+    for run in range(6):
+        log.add(docs.filter(F.col("doc_id") % (run + 1) == 0).select(F.concat("doc_id", F.lit(".jpg")).alias("filename"), F.lit(f"run {run}").alias("caption"), (F.col("n_chars") > 2000).alias("should_reject"), F.array().cast("array<string>").alias("reject_signals"), F.lit(None).cast("string").alias("error")))
+    return log.latest().select("filename", "caption", "should_reject")
 
 
 @query(f"SELECT {K} || CASE {K} % 4 WHEN 0 THEN '.PNG' WHEN 1 THEN '.webp' WHEN 2 THEN '.txt' ELSE '.jpeg' END AS filename FROM part WHERE {K} % 4 <> 2 AND {K} % 5 <> 0")
@@ -271,12 +278,44 @@ def image_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(K, text.mime_type(path).alias("mime"), shapes.near_resolution(F.expr(f"1000 + {K} % 40"), F.expr("1024 + p_size"), [(1024, 1026)]).alias("native"), text.data_url(path, F.col("p_name").cast("binary")).alias("payload"))
 
 
-@query(f"SELECT {K} AS id, row_number() OVER (ORDER BY {K} % 3 <> 0, {K} || '.png') AS place FROM part ORDER BY place LIMIT 50")
+@query(f"SELECT {K} AS id, CAST(row_number() OVER (ORDER BY {K} % 3 <> 0, {K} || '.png') AS INTEGER) AS place FROM part ORDER BY place LIMIT 50")
 def failures_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first lines of a report for people: what failed, then the rest, by name."""
+    """The first lines of a report for people: what failed, then the rest, by name.  Only these are sorted together."""
     flagged = table(spark, sf_dir, "part").select(F.col(K).alias("id"), F.concat(K, F.lit(".png")).alias("filename"), (F.col(K) % 3 != 0).alias("structural_passed"))
-    first = [r.id for r in validate.failures_first(flagged).limit(50).collect()]
-    return spark.createDataFrame([(i, k + 1) for k, i in enumerate(first)], "id long, place long")
+    return validate.failures_first(flagged).limit(50).select("id", F.row_number().over(Window.orderBy("structural_passed", "filename")).alias("place"))
+
+
+S = "s_suppkey"
+
+
+@query(f"""SELECT {S} || CASE WHEN {S} % 3 = 0 THEN '.PNG' ELSE '.jpg' END AS filename, {S} % 5 <> 0 AS opened, CAST(CASE WHEN {S} % 5 = 0 THEN 0 ELSE 300 + {S} END AS INTEGER) AS width, CAST(CASE WHEN {S} % 5 = 0 THEN 0 ELSE 200 + s_nationkey END AS INTEGER) AS height,
+    CASE WHEN {S} % 5 = 0 THEN 'UNKNOWN' WHEN {S} % 3 = 0 THEN 'PNG' ELSE 'JPEG' END AS format, CASE WHEN {S} % 5 <> 0 AND {S} % 3 <> 0 AND {S} % 2 = 0 THEN 'Make' ELSE '' END AS tags,
+    CASE WHEN {S} % 5 = 0 THEN false ELSE {S} % 3 <> 0 AND {S} % 2 = 0 AND {S} % 4 = 0 END AS signed, true AS header_only FROM supplier WHERE {S} % 7 <> 0""")
+def image_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images of a folder, listed by suffix and read in ranges: headers, camera and generator tags.  Behind each header come 40,000 bytes
+    that are never read; every fifth file is cut short, every seventh is no image by its name."""
+
+    def number(c: str, digits: int) -> str:
+        return f"lpad(hex({c}), {digits}, '0')"
+
+    # one directory: Make, and on every fourth a description with a signature and an artist
+    def tiff(more: str, n: int) -> str:
+        text = "5369676E61747572653A206100"  # "Signature: a"
+        described = f"'010E', '0002', '0000000D', '{8 + 2 + 12 * n + 4:08X}', '013B', '0002', '00000002', '41000000'," if more else ""
+        return f"concat('4D4D002A00000008', '{n:04X}', {described} '010F', '0002', '00000002', '58000000', '00000000', '{text}')"
+
+    exif = f"CASE WHEN {S} % 4 = 0 THEN {tiff('signed', 3)} WHEN {S} % 2 = 0 THEN {tiff('', 1)} ELSE '' END"
+    segment = f"CASE WHEN {S} % 2 = 0 THEN concat('FFE1', {number(f'8 + length({exif}) div 2', 4)}, '457869660000', {exif}) ELSE '' END"
+    rest = "repeat('00', 40000)"
+    png = f"concat('89504E470D0A1A0A0000000D49484452', {number(f'300 + {S}', 8)}, {number('200 + s_nationkey', 8)}, '0802000000', '00000000', '00009C4049444154', {rest})"
+    jpeg = f"concat('FFD8', {segment}, 'FFC0000B08', {number('200 + s_nationkey', 4)}, {number(f'300 + {S}', 4)}, '01011100', 'FFDA', {rest})"
+    content = F.expr(f"unhex(CASE WHEN {S} % 5 = 0 THEN '89504E470D0A1A0A00' WHEN {S} % 3 = 0 THEN {png} ELSE {jpeg} END)")
+    suffix = F.when(F.col(S) % 7 == 0, ".txt").when(F.col(S) % 3 == 0, ".PNG").otherwise(".jpg")
+    to = files.scratch(spark, "images")
+    made = imagebytes.write_files(table(spark, sf_dir, "supplier").select(F.concat(S, suffix).alias("filename"), content.alias("content")), to)
+    made.write.format("noop").mode("overwrite").save()
+    found = imagebytes.read_image_features(spark, to, files.IMAGES)
+    return found.select("filename", "opened", "width", "height", "format", F.array_join("camera_exif_tags", ",").alias("tags"), F.col("has_generator_exif").alias("signed"), (F.col("bytes_read") < 9000).alias("header_only"))
 
 
 # ---------------------------------------------------------------- arrivals and resumable runs
@@ -308,22 +347,93 @@ def stream_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").select("listing", "page", F.col("streak").cast("bigint").alias("streak"), "stop")
 
 
-@query()
-def arrivals_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as items one after another, where a URL may change its content.  SQL would have to follow them one by one;
-    a test holds the operator against that on small tables."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 400).alias("url"), (F.col("n_chars") % 300).alias("content"))
-    return items.first_arrivals(rows, "url", "content", ["doc_id"]).select("doc_id", "outcome")
+def sql_arrivals(candidates: str, urls: str = "[]::BIGINT[]", contents: str = "[]::BIGINT[]") -> str:
+    """Items (k: place from 1, doc_id, u, c) one after another, with lists of what was taken."""
+    return f"""WITH RECURSIVE d AS ({candidates}), r(k, doc_id, outcome, urls, contents) AS (
+        SELECT 0::BIGINT, NULL::BIGINT, NULL::VARCHAR, {urls}, {contents}
+        UNION ALL SELECT d.k, d.doc_id, CASE WHEN list_contains(urls, u) THEN 'dup_url' WHEN list_contains(contents, c) THEN 'dup_hash' ELSE 'ok' END,
+            CASE WHEN list_contains(urls, u) OR list_contains(contents, c) THEN urls ELSE list_append(urls, u) END,
+            CASE WHEN list_contains(urls, u) OR list_contains(contents, c) THEN contents ELSE list_append(contents, c) END
+        FROM r JOIN d ON d.k = r.k + 1) SELECT doc_id, outcome FROM r WHERE k > 0"""
+
+
+SQL_URL, SQL_CONTENT, SQL_LARGE = "doc_id % 400 AS u", "n_chars % 300 AS c", "n_chars >= 200 OR n_chars = 0"
+
 
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as items whose URLs change their content; 1,000 pixels for each character."""
+    return table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 400).alias("url"), (F.col("n_chars") % 300).cast("bigint").alias("content_hash"), F.col("n_chars").cast("int").alias("width"), F.lit(1000).alias("height"))
 
-@query("SELECT source, n, n >= 40 AS reached, least(n, 40) AS taken FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)")
+
+@query(sql_arrivals(f"SELECT doc_id, {SQL_URL}, {SQL_CONTENT}, row_number() OVER (ORDER BY doc_id) AS k FROM documents"))
+def arrivals_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as items one after another, where a URL may change its content."""
+    return items.first_arrivals(_items(spark, sf_dir), "url", "content_hash", ["doc_id"]).select("doc_id", "outcome")
+
+
+@query("SELECT doc_id FROM (" + sql_arrivals(f"SELECT doc_id, {SQL_URL}, {SQL_CONTENT}, row_number() OVER (ORDER BY doc_id) AS k FROM documents WHERE doc_id % 10 <> 0 AND ({SQL_LARGE})",
+    "(SELECT list(DISTINCT doc_id % 400) FROM documents WHERE doc_id % 10 = 0)", "(SELECT list(DISTINCT n_chars % 300) FROM documents WHERE doc_id % 10 = 0 AND n_chars % 2 = 0)") + ") WHERE outcome = 'ok'")
+def new_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is taken beside a manifest: what was too small before may be taken later."""
+    found = _items(spark, sf_dir)
+    manifest = found.filter("doc_id % 10 = 0").withColumn("content_hash", F.when(F.col("width") % 2 == 0, F.col("content_hash")))
+    return items.new_items(found.filter("doc_id % 10 <> 0"), manifest, ["doc_id"]).select("doc_id")
+
+
+@query("SELECT doc_id FROM (" + sql_arrivals(f"SELECT doc_id, {SQL_URL}, {SQL_CONTENT}, row_number() OVER (ORDER BY doc_id) AS k FROM documents WHERE {SQL_LARGE}") + ") WHERE outcome = 'ok'")
+def stream_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same items arriving in three runs: only what was taken is remembered, by URL and by content."""
+    found, base = _items(spark, sf_dir), files.scratch(spark, "arriving")
+    taken, schema = Table(spark, f"{base}/taken"), "doc_id bigint, url bigint, content_hash bigint, width int, height int"
+    bounds = found.agg(F.min("doc_id"), F.max("doc_id")).first()
+    edges = [bounds[0] + (bounds[1] + 1 - bounds[0]) * k // 3 for k in range(4)] if bounds[0] is not None else []
+    large = items.large_enough(F.col("width").cast("bigint") * F.col("height"), 200_000)
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        found.filter(F.col("doc_id").between(low, high - 1)).write.mode("append").parquet(f"{base}/in")
+        incremental.take_new(incremental.arriving(spark, f"{base}/in", schema), taken, f"{base}/state", ["doc_id"], lambda rows: rows.filter(large)).awaitTermination()
+    return taken.read(schema).select("doc_id")
+
+
+@query("SELECT doc_id, source, n >= 40 AS reached FROM (SELECT doc_id, source, count(*) OVER (PARTITION BY source) AS n, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS k FROM documents) WHERE k <= 40")
 def target_reached(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items of several producers until each source has its target."""
+    """The items of several producers that are taken until each source has its target."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     producers = [docs.filter(F.col("doc_id") % 3 == k) for k in range(3)]
     return items.until_target(items.produced(*producers), "source", ["doc_id"], 40)
 
 
+@query("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT (SELECT count(*) * 3 // 5 FROM orders)")
+def stream_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders arriving file by file until three fifths of them are taken; the stream stops by itself, within a file."""
+    orders, base = table(spark, sf_dir, "orders").select("o_orderkey"), files.scratch(spark, "drain")
+    held = orders.agg(F.count("*").alias("n"), F.max("o_orderkey").alias("last")).first()
+    for k in range(4):
+        part = orders.filter(F.col("o_orderkey").between((held["last"] + 1) * k // 4, (held["last"] + 1) * (k + 1) // 4 - 1))
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    taken = Table(spark, f"{base}/taken")
+    incremental.take_until(incremental.arriving(spark, f"{base}/in", "o_orderkey bigint", files_per_batch=1), taken, f"{base}/state", ["o_orderkey"], held.n * 3 // 5)
+    return taken.read("o_orderkey bigint").select("o_orderkey")
+
+
+@query("SELECT batch, bucket, n FROM (SELECT CASE WHEN doc_id % 2 = 0 THEN 0::BIGINT ELSE 1 END AS batch, CASE WHEN n_chars < 200 THEN 'too_few_pixels' WHEN n_chars > 5000 THEN 'too_many_pixels' ELSE 'ok' END AS bucket, count(*) AS n FROM documents GROUP BY ALL)")
+def stream_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arriving items are validated batch by batch; a batch is a version of the report, so that one run again changes nothing."""
+    found, base = _items(spark, sf_dir), files.scratch(spark, "validated")
+    seen = Table(spark, f"{base}/report")
+    rules = DatasetConfig("arriving", 200_000, 5_000_000)
+
+    def work(batch: DataFrame, n: int) -> None:
+        if n >= (seen.versions() or [0])[-1]:
+            sized = batch.select("width", "height", F.lit("PNG").alias("format"), F.lit(0).alias("file_size"), F.lit(None).cast("double").alias("avg_quantization"), F.array().cast("array<string>").alias("camera_exif_tags"), F.lit(True).alias("opened"))
+            counts = validate.structural(sized, rules).groupBy(F.coalesce(F.get("flags", F.lit(0)), F.lit("ok")).alias("bucket")).agg(F.count("*").alias("n"))
+            seen.commit([*seen.parts(n), seen.write(counts.withColumn("batch", F.lit(n).cast("bigint")))], n)
+
+    for k in (0, 1):
+        found.filter(F.col("doc_id") % 2 == k).write.mode("append").parquet(f"{base}/in")
+        incremental.for_each_batch(incremental.arriving(spark, f"{base}/in", "doc_id bigint, url bigint, content_hash bigint, width int, height int"), work, f"{base}/state").awaitTermination()
+    return seen.read("bucket string, n bigint, batch bigint").select("batch", "bucket", "n")
+
+
 @query("""SELECT listing, page, count(*) AS found, count(*) - count(*) FILTER (k = 1) AS duplicates, count(*) FILTER (k = 1) = 0 AS seen FROM (
     SELECT o_custkey % 5 AS listing, o_orderkey // 100 AS page, row_number() OVER (PARTITION BY o_custkey % 5, floor(o_totalprice / 20000) ORDER BY o_orderkey) AS k FROM orders) GROUP BY ALL""")
 def page_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry import config
+from quarry import config, session
 from quarry.config import PostRules
 from quarry.functions import shapes, text
 from quarry.operators import grids, items, labels, posts, stats, sync, validate
+from quarry.sources.versions import Table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -175,6 +176,14 @@ def metadata_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.build_metadata(manifest, listing, "flux1")
 
 
+@query(f"SELECT model_version, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS percent FROM (SELECT CASE p_partkey % 5 WHEN 0 THEN 'unknown' ELSE {SQL_VERSIONS['flux1']} END AS model_version FROM ({SQL_FLAIRED})) GROUP BY 1")
+def version_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of versions; null and empty ones are unknown."""
+    version = labels.model_version("flux1", F.col("source"), F.col("flair"))
+    gone = F.when(F.col("p_partkey") % 10 == 0, "").when(F.col("p_partkey") % 10 == 5, None).otherwise(version)
+    return stats.version_breakdown(_flaired(spark, sf_dir).select(gone.alias("model_version")))
+
+
 # ---------------------------------------------------------------- reports
 
 
@@ -317,6 +326,29 @@ def review_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.reviewed(docs, classes).select("filename", "action", "state")
 
 
+@query("""SELECT action, CASE WHEN action = 'moved' THEN state END AS state, count(*) AS n FROM (
+    SELECT CASE WHEN d.doc_id IS NULL THEN 'not_found' WHEN l.doc_id IS NULL THEN 'none' WHEN d.lang = 'en' THEN 'moved' ELSE 'not_found' END AS action, CASE WHEN l.quality = 1 THEN 'images' ELSE 'rejected' END AS state
+    FROM documents d FULL OUTER JOIN labels l ON d.doc_id = l.doc_id) GROUP BY ALL""")
+def review_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("filename"), F.when(F.col("lang") == "en", "staging").otherwise("images").alias("state"))
+    classes = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("filename"), F.when(F.col("quality") == 1, "ai_art").otherwise("meme").alias("category"))
+    return validate.review_counts(validate.reviewed(docs, classes))
+
+
+SQL_RATIOS = "(VALUES " + ", ".join(f"('{n}', {w}, {h})" for n in config.dataset_names() for w, h in config.dataset(n).ratios) + ") r(dataset, rw, rh)"
+
+
+@query(f"""SELECT dataset, count(DISTINCT i) AS n FROM (SELECT row_number() OVER () AS i, CAST({W} AS DOUBLE) AS w, CAST({H} AS DOUBLE) AS h FROM lineitem), {SQL_RATIOS}
+    WHERE abs(w / h - rw::DOUBLE / rh::DOUBLE) / (rw::DOUBLE / rh::DOUBLE) <= 0.05 GROUP BY dataset""")
+def dataset_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many items have a known ratio of each dataset: the dimension of ratios is met item by item, its tolerance with it."""
+    ratios = config.dim_ratio(spark).select("dataset", F.struct("w", "h").alias("ratio")).groupBy("dataset").agg(F.collect_set("ratio").alias("ratios"))
+    sized = table(spark, sf_dir, "lineitem").select(F.expr(W).cast("double").alias("w"), F.expr(H).cast("double").alias("h")).groupBy("w", "h").agg(F.count("*").alias("n"))
+    ratio = F.col("w") / F.col("h")
+    met = sized.crossJoin(F.broadcast(ratios)).filter(F.exists("ratios", lambda r: F.abs(ratio - r["w"] / r["h"]) / (r["w"] / r["h"]) <= 0.05))
+    return met.groupBy("dataset").agg(F.sum("n").alias("n"))
+
+
 # ---------------------------------------------------------------- composite images
 
 GRID_SIZES = ["1024x1024", "2048x2048", "1792x2624", "2912x1632", "1501x3001", "3000x2000", "1000x1000", "abcx10", "656x448", "2602x2600"]
@@ -352,6 +384,29 @@ def manifest_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grids.split(_grid_manifest(spark, sf_dir)).select("o_orderkey", "filename", "width", "height", "flair")
 
 
+@query(f"""WITH g AS (SELECT *, row_number() OVER (ORDER BY filename) AS k FROM ({SQL_GRID}) WHERE grid_class = 'grid'), t AS ({SQL_TILE_ROWS})
+    SELECT o_orderkey, filename, width, height, flair FROM ({SQL_GRID}) WHERE filename NOT IN (SELECT filename FROM g WHERE k <= 25)
+    UNION ALL SELECT t.* FROM t WHERE o_orderkey IN (SELECT o_orderkey FROM g WHERE k <= 25)""")
+def grid_split_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 25 composites, by name, are split; the others stay."""
+    return grids.split(_grid_manifest(spark, sf_dir), limit=25).select("o_orderkey", "filename", "width", "height", "flair")
+
+
+@query(f"""WITH after AS (SELECT o_orderkey, filename, width, height, flair FROM ({SQL_GRID}) WHERE grid_class <> 'grid' UNION ALL {SQL_TILE_ROWS})
+    SELECT 1 AS version, count(*) AS n, CAST(sum(TRY_CAST(width AS BIGINT)) AS BIGINT) AS width FROM ({SQL_GRID}) UNION ALL SELECT 2, count(*), CAST(sum(TRY_CAST(width AS BIGINT)) AS BIGINT) FROM after""")
+def manifest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest rewritten as a new version: the first writer fails before it commits, the second one is read; the old version is the backup."""
+    manifest = Table(spark, session.scratch(spark, "versions"))
+    before = _grid_manifest(spark, sf_dir)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in before.schema.fields)
+    manifest.append(before)
+    split = grids.split(manifest.read(schema).drop("_part"))
+    manifest.write(split)  # rows that no version names: the writer was lost here
+    manifest.replace(split)
+    counts = [manifest.read(schema, v).agg(F.count("*").alias("n"), F.sum(F.col("width").try_cast("bigint")).alias("width")).withColumn("version", F.lit(v)) for v in manifest.versions()]
+    return counts[0].unionByName(counts[1]).select("version", "n", "width")
+
+
 @query(f"SELECT CASE WHEN o_custkey IN (SELECT l_suppkey FROM lineitem) THEN grid_class ELSE 'missing' END AS grid_class, count(*) AS n FROM ({SQL_GRID}) JOIN (SELECT o_orderkey, o_custkey FROM orders) USING (o_orderkey) GROUP BY 1")
 def grid_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplied = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("o_custkey")).distinct()
@@ -433,10 +488,11 @@ def sync_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync.sync_plan(source, table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("v")), "doc_id", "v")
 
 
-@query("SELECT scheme AS by, CAST(k // 500 AS INTEGER) AS page, count(*) AS n FROM (SELECT split_part(url, '://', 1) AS scheme, row_number() OVER (PARTITION BY split_part(url, '://', 1) ORDER BY page_id) - 1 AS k FROM pages) GROUP BY ALL")
+@query("""SELECT "by", page, count(*) AS n, sha256('<main>' || string_agg('<figure><img src="' || replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '"', '&quot;') || '"><figcaption>' || page_id || '</figcaption></figure>', chr(10) ORDER BY page_id) || '</main>') AS html FROM (
+    SELECT page_id, coalesce(url, '') AS url, split_part(url, '://', 1) AS "by", CAST((row_number() OVER (PARTITION BY split_part(url, '://', 1) ORDER BY page_id) - 1) // 500 AS INTEGER) AS page FROM pages) GROUP BY ALL""")
 def contact_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.split_part("url", F.lit("://"), F.lit(1)).alias("by"))
-    return sync.contact_sheet(pages, "by", "page_id", "url", "page_id").select("by", "page", "n")
+    return sync.contact_sheet(pages, "by", "page_id", "url", "page_id").select("by", "page", "n", F.sha2("html", 256).alias("html"))
 
 
 @query("SELECT CASE WHEN doc_id % 31 = 7 THEN 'error' WHEN quality = 0 THEN 'rejected' ELSE 'passed' END AS bucket, count(*) AS n FROM labels GROUP BY 1")

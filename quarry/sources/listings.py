@@ -206,12 +206,12 @@ def recraft_queries(spark: SparkSession) -> DataFrame:
     return combinations(_values(spark, "model", RECRAFT_MODELS), _values(spark, "image_type", [*RECRAFT_TYPES, "any"]), granular != (F.col("image_type") == "any"))
 
 
-def reddit_queries(spark: SparkSession, subreddits: Sequence[str], searches: Sequence[str]) -> DataFrame:
-    """``kind, target, sort, window`` of all listings and searches."""
+def reddit_queries(subreddits: DataFrame, searches: DataFrame) -> DataFrame:
+    """``kind, target, sort, window`` of all listings and searches; both tables have a column ``target``."""
 
-    def every(kind: str, targets: Sequence[str], sorts: Sequence[str], windows: Sequence[str]) -> DataFrame:
-        both = combinations(_values(spark, "target", targets), combinations(_values(spark, "sort", sorts), _values(spark, "window", windows)))
-        return both.select(F.lit(kind).alias("kind"), "target", "sort", "window")
+    def every(kind: str, targets: DataFrame, sorts: Sequence[str], windows: Sequence[str]) -> DataFrame:
+        orders = F.explode(F.array(*map(F.lit, sorts)))
+        return targets.select(F.lit(kind).alias("kind"), "target", orders.alias("sort")).withColumn("window", F.explode(F.array(*map(F.lit, windows))))
 
     return every("list", subreddits, *REDDIT_LISTS).unionByName(every("search", searches, *REDDIT_SEARCHES))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import threading
+import time
+from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
@@ -11,6 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from quarry.operators import items
+from quarry.sources.versions import Table
+
 
 def arriving(spark: SparkSession, path: str, schema: str, files_per_batch: int = 100, format: str = "parquet") -> DataFrame:
     """Rows of files as they arrive, at most so many files a batch."""
@@ -24,6 +29,53 @@ def new_only(stream: DataFrame, key: str, time: str | None = None, delay: str |
     return stream.dropDuplicates([key])
 
 
+def take_new(stream: DataFrame, table: Table, checkpoint: str, order: Sequence[str], keep: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> StreamingQuery:
+    """Adds the items (url, content_hash) of each batch that are to be taken to ``table``, until what has arrived is done.
+
+    Only what was taken is remembered, by URL and by content: an item that goes as a duplicate or isn't kept (``keep``: those large
+    enough, say) leaves no trace, and its URL may be taken later with another content.  A batch is the table's version of its number, so
+    that one that is run again after a failure changes nothing.  The table belongs to the checkpoint.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+
+    def take(batch: DataFrame, n: int) -> None:
+        if n < (table.versions() or [0])[-1]:
+            return
+        before = table.parts(n)
+        seen = table.read(schema, n)
+        fresh = items.unseen(items.unseen(keep(batch), seen, "url"), seen, "content_hash")
+        taken = items.first_arrivals(fresh, "url", "content_hash", order).filter("outcome = 'ok'").select(*batch.columns)
+        table.commit(table.merged([*before, table.write(taken)], schema), n)
+
+    return for_each_batch(stream, take, checkpoint)
+
+
+def take_until(stream: DataFrame, table: Table, checkpoint: str, order: Sequence[str], target: int, seconds: float = 600) -> int:
+    """Adds batches to ``table`` until it has ``target`` rows (of the last batch those that came first; the rest of it is given up),
+    then stops the stream; how many rows it has.  It also stops after ``seconds``, since more may never arrive."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+    reached = threading.Event()
+
+    def take(batch: DataFrame, n: int) -> None:
+        if n >= (table.versions() or [0])[-1]:
+            missing = target - table.read(schema, n).count()
+            some = batch.orderBy(*order).limit(max(0, missing))
+            table.commit(table.merged([*table.parts(n), table.write(some)], schema), n)
+        if table.read(schema).count() >= target:
+            reached.set()
+
+    query = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).start()
+    try:
+        end = time.monotonic() + seconds
+        while query.isActive and time.monotonic() < end and not reached.wait(0.1):
+            pass
+    finally:
+        query.stop()
+    if query.exception():
+        raise query.exception()
+    return table.read(schema).count()
+
+
 def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Appends the stream to a table of files, from where the checkpoint stands, until what has arrived is done."""
     return stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)

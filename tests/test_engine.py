@@ -156,6 +156,9 @@ def test_decisions(spark):
     assert decided(spark, rows, [], scores)[0]["uncaptioned.jpg"] == ("images", [])
     report = json.loads(validate.report(out, relaxed=False).first().report)
     assert (report["total"], report["passed"], report["rejected"]) == (8, 3, 5) and report["rejection_reasons"]["too_small"] == 2
+    assert report["timestamp"].endswith("+00:00") and json.loads(validate.report(out, at=F.lit("2024-05-06 07:08:09.5").cast("timestamp")).first().report)["timestamp"] == "2024-05-06T07:08:09.500000+00:00"
+    twice = decided(spark, rows, [*captions, ("ok.jpg", "a meme", None, None, None)], [*scores, ("ok.jpg", -9.0, True)])[1]
+    assert twice.count() == len(rows) and twice.filter("filename = 'ok.jpg'").first().state == "rejected"
     empty = json.loads(validate.report(out.limit(0)).first().report)
     assert empty["total"] == 0 and empty["rejection_reasons"] == {}
     assert validate.reset(out).filter("state = 'rejected'").count() == 0
@@ -260,7 +263,8 @@ def test_simple_listing_and_tiers(spark, tmp_path):
 
 def test_queries_asked(spark):
     assert listings.recraft_queries(spark).count() == 19
-    assert listings.reddit_queries(spark, ["a", "b"], ["q"]).groupBy("kind").count().orderBy("kind").collect() == [("list", 32), ("search", 9)]
+    targets = lambda *names: spark.createDataFrame([(n,) for n in names], "target string")
+    assert listings.reddit_queries(targets("a", "b"), targets("q")).groupBy("kind").count().orderBy("kind").collect() == [("list", 32), ("search", 9)]
     channels = spark.createDataFrame([("1", 0, "general-2"), ("2", 0, "general-1"), ("3", 2, "general-3"), ("4", 0, None), ("5", 0, "news")], "id string, type int, name string")
     assert [r.id for r in listings.target_channels(channels, r"general-\d").collect()] == ["2", "1"]
     assert [r.id for r in listings.target_channels(channels, "general", ["general-2"]).collect()] == ["1"]
