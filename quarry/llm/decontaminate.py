@@ -12,10 +12,13 @@ containment 1 the necessary prefix is its single rarest shingle.
    (positional and length bounds).
 4. The item-sized window of the document is compared with the item's words, word for word.
 
-Nothing is shuffled but those candidates and one small row for each document.
+Nothing is shuffled but those candidates and one small row for each document.  A document's hits are merged in order, in time linear
+in them; the items of a window are joined last, by its number, so that a window which many items share is one row until then.
 
 Defined cases: a null or empty text has no words and no hits.  Repeated document rows are reported one by one.  A null
-item id counts for hits but not as an item; repeated items count once.  Empty tables give empty reports, or no hits.
+item id counts for hits but not as an item; repeated items count once.  Texts and items of any length are whole; memory follows
+the longest.  Columns are taken by their exact names, dots and all; the report has columns of its own, whatever others there are.
+Empty tables give empty reports, or no hits.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -33,11 +37,11 @@ WIDTH = 13
 SHINGLE = 3
 #: Prefix rows up to which their table is broadcast: about 200 bytes each.
 BROADCAST_ROWS = 100_000
-SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", width: int = WIDTH, shingle: int = SHINGLE) -> DataFrame:
-    """One row for each different window: ``words`` (joined by spaces), ``n``, ``items`` (ids as strings, distinct) and ``shingles``."""
+    """A row for each window of each item: ``item`` (its id as a string), ``words`` (joined by spaces), ``n`` and ``shingles``."""
+    C.importable(benchmark.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,8 +63,14 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
                         sets.append(h[s - a : s - a + n - k + 1])
                 yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(words, pa.string()), pa.array(size, pa.int32()), pa.array(sets, pa.list_(pa.int64()))], names=["item", "words", "n", "shingles"])
 
-    rows = benchmark.select(F.col(id_col).cast("string"), text_col).mapInArrow(cut, "item string, words string, n int, shingles array<bigint>")
-    return rows.groupBy("words").agg(F.first("n").alias("n"), F.array_sort(F.collect_set("item")).alias("items"), F.first("shingles").alias("shingles"))
+    rows = benchmark.select(C.own(benchmark, id_col).cast("string").alias("id"), C.own(benchmark, text_col).alias("text"))
+    return rows.mapInArrow(cut, "item string, words string, n int, shingles array<bigint>")
+
+
+def distinct_windows(rows: DataFrame) -> DataFrame:
+    """``window`` (a number), ``words``, ``n`` and ``shingles`` of the different windows; the items that share one are not gathered."""
+    each = rows.groupBy("words").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+    return C.cut(each.withColumn("window", F.monotonically_increasing_id()))
 
 
 def _widths(windows: DataFrame, shingle: int) -> list[int]:
@@ -68,9 +78,8 @@ def _widths(windows: DataFrame, shingle: int) -> list[int]:
     return sorted(r.k for r in windows.select(F.least("n", F.lit(shingle)).alias("k")).distinct().collect())
 
 
-def shingle_counts(docs: DataFrame, text_col: str, bitmap: np.ndarray, widths: list[int]) -> DataFrame:
-    """How often the shingles in ``bitmap`` occur in all documents: ``h``, ``count``."""
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap)
+def shingle_counts(docs: DataFrame, text_col: str, sent: Broadcast[np.ndarray], widths: list[int]) -> DataFrame:
+    """How often the shingles in the bitmap ``sent`` occur in all documents: ``h``, ``count``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,21 +92,20 @@ def shingle_counts(docs: DataFrame, text_col: str, bitmap: np.ndarray, widths: l
             h, n = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([C.long(h), pa.array(n.astype(np.int64))], names=["h", "n"])
 
-    return docs.select(text_col).mapInArrow(C.released(count), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("count"))
+    return docs.select(C.own(docs, text_col).alias("text")).mapInArrow(C.released(count), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("count"))
 
 
 def prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
     """Each window with its rarest shingle ``h`` and that shingle's ``offset``: the prefix of length one."""
-    each = windows.select("words", "n", "items", F.posexplode("shingles").alias("offset", "h"))
+    each = windows.select("window", "words", "n", F.posexplode("shingles").alias("offset", "h"))
     ranked = each.join(counts, "h", "left").withColumn("rarity", F.struct(F.coalesce("count", F.lit(0)).alias("count"), "h", "offset"))
-    return ranked.groupBy("words").agg(F.first("n").alias("n"), F.first("items").alias("items"), F.min("rarity").alias("prefix")).select("words", "n", "items", F.col("prefix.h").alias("h"), F.col("prefix.offset").alias("offset"))
+    return ranked.groupBy("window").agg(F.first("words").alias("words"), F.first("n").alias("n"), F.min("rarity").alias("prefix")).select("window", "words", "n", F.col("prefix.h").alias("h"), F.col("prefix.offset").alias("offset"))
 
 
-def _candidates(rows: DataFrame, bitmap: np.ndarray, widths: list[int], reach: int) -> DataFrame:
-    """For each document a row with its id, and one for each shingle in ``bitmap`` (``candidate``): its place ``pos`` and
+def _candidates(rows: DataFrame, sent: Broadcast[np.ndarray], widths: list[int], reach: int) -> DataFrame:
+    """For each document a row with its id, and one for each shingle in the bitmap ``sent`` (``candidate``): its place ``pos`` and
     the words from ``from`` on around it.  ``rows``: rid, id, text_key, text.  A document's own row has its rid as h, so
     that a join by h deals these rows evenly."""
-    sent = rows.sparkSession.sparkContext.broadcast(bitmap)
     fields = {"rid": "bigint", "candidate": "boolean", "id": rows.schema["id"].dataType, "text_key": "bigint", "n_words": "bigint", "h": "bigint", "pos": "bigint", "from": "bigint", "around": "string"}
     schema, names = C.struct(fields), list(fields)
 
@@ -124,48 +132,62 @@ def _candidates(rows: DataFrame, bitmap: np.ndarray, widths: list[int], reach: i
     return rows.mapInArrow(C.released(find), schema)
 
 
-def _merge(spans: Column) -> Column:
-    """Sorted spans with those that touch or overlap made one."""
-    def add(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        apart = (F.size(done) == 0) | (F.get(done, F.size(done) - 1)["end"] < s["start"])
-        return F.when(apart, F.concat(done, F.array(s))).otherwise(F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end")))))
-
-    return F.aggregate(spans, F.array().cast(SPANS), add)
+def _merged(hits: DataFrame) -> DataFrame:
+    """``rid, own, n_hit, spans, windows`` of each document from ``rid, own, start, end, window`` (a document's own row has no span).
+    Spans that touch or overlap become one by a running maximum over the document's hits, in order of start."""
+    before = Window.partitionBy("rid").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.max("end").over(before)
+    apart = F.col("start").isNotNull() & (reached.isNull() | (reached < F.col("start")))
+    marked = hits.withColumn("new", apart.cast("int"))
+    islands = marked.withColumn("island", F.sum("new").over(Window.partitionBy("rid").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)))
+    each = islands.groupBy("rid", "island").agg(F.first("own", ignorenulls=True).alias("own"), F.min("start").alias("start"), F.max("end").alias("end"), F.collect_set("window").alias("windows"))
+    span = F.when(F.col("start").isNotNull(), F.struct("start", "end"))
+    return each.groupBy("rid").agg(
+        F.first("own", ignorenulls=True).alias("own"),
+        F.coalesce(F.sum(F.col("end") - F.col("start")), F.lit(0)).alias("n_hit"),
+        F.array_sort(F.collect_list(span)).alias("spans"),
+        F.array_distinct(F.flatten(F.collect_list("windows"))).alias("windows"),
+    )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, share: int = 20) -> DataFrame:
     """One row for each document row: its id, ``text_key`` (a hash of its text), ``n_words``, ``n_hit`` (words inside an
     occurrence of a window), ``items`` (ids as sorted strings), ``spans`` (merged word ranges, end exclusive) and
     ``contaminated`` (n_hit > 0 and share * n_hit >= n_words)."""
-    windows = C.cut(benchmark_windows(benchmark, item_col, item_text_col, width))
+    spark = docs.sparkSession
+    C.importable(spark)
+    of_items = benchmark_windows(benchmark, item_col, item_text_col, width)
+    windows = distinct_windows(of_items)
     widths = _widths(windows, SHINGLE)
-    counts = shingle_counts(docs, text_col, C.hash_bitmap(windows.select(F.explode("shingles").alias("h")), "h"), widths)
-    prefix = C.cut(prefixes(windows, counts))
-    near = C.bounded_broadcast(prefix.select("words", "n", "items", F.col("h").alias("near_h"), "offset"), prefix.count(), BROADCAST_ROWS)
-
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
-    found = _candidates(rows, C.hash_bitmap(prefix, "h"), widths, width - 1)
+    asked = spark.sparkContext.broadcast(C.hash_bitmap(windows.select(F.explode("shingles").alias("h")), "h"))
+    prefix = C.cut(prefixes(windows, shingle_counts(docs, text_col, asked, widths)))
+    asked.unpersist()
+    near = C.bounded_broadcast(prefix.select("window", "words", "n", F.col("h").alias("near_h"), "offset"), prefix.count(), BROADCAST_ROWS)
+
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), C.own(docs, id_col).alias("id"), F.xxhash64(C.own(docs, text_col)).alias("text_key"), C.own(docs, text_col).alias("text"))
+    thinned = spark.sparkContext.broadcast(C.hash_bitmap(prefix, "h"))
+    found = _candidates(rows, thinned, widths, width - 1)
     start = F.col("pos") - F.col("offset")
     here = F.array_join(F.slice(F.split("around", " "), (start - F.col("from") + 1).cast("int"), F.col("n")), " ")
     joined = found.join(near, F.col("candidate") & (F.col("h") == F.col("near_h")), "left")
     placed = joined.filter(~F.col("candidate") | ((start >= 0) & (start + F.col("n") <= F.col("n_words"))))
     verified = placed.filter(~F.col("candidate") | (here == F.col("words")))
-    hit = F.when(F.col("candidate"), F.struct(start.alias("start"), (start + F.col("n")).alias("end")))
     own = F.when(~F.col("candidate"), F.struct("id", "text_key", "n_words"))
-    by_doc = verified.groupBy("rid").agg(
-        F.first(own, ignorenulls=True).alias("own"),
-        _merge(F.array_sort(F.collect_set(hit))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-    )
-    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
-    counted = by_doc.select(F.col("own.id").alias(id_col), "own.text_key", "own.n_words", n_hit.alias("n_hit"), "items", "spans")
+    hits = verified.select("rid", own.alias("own"), F.when(F.col("candidate"), start).alias("start"), F.when(F.col("candidate"), start + F.col("n")).alias("end"), F.when(F.col("candidate"), F.col("window")).alias("window"))
+    by_doc = C.cut(_merged(hits))
+    thinned.unpersist()
+
+    # items are met by the number of the window, once for each document that has it
+    named = of_items.select("words", "item").distinct().join(windows.select("words", "window"), "words").select("window", "item").filter("item IS NOT NULL")
+    met = by_doc.select("rid", F.explode("windows").alias("window")).join(named, "window").groupBy("rid").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    counted = by_doc.join(met, "rid", "left").select(F.col("own.id").alias(id_col), "own.text_key", "own.n_words", "n_hit", F.coalesce("items", F.array().cast("array<string>")).alias("items"), "spans")
     return counted.withColumn("contaminated", (F.col("n_hit") > 0) & (F.lit(share) * F.col("n_hit") >= F.col("n_words")))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, with all their columns, that ``decontaminate`` doesn't call contaminated."""
-    bad = decontaminate(docs, benchmark, id_col, text_col, **options).filter("contaminated").select(F.col(id_col).alias("id"), "text_key").distinct()
+    found = decontaminate(docs, benchmark, id_col, text_col, **options).filter("contaminated")
+    bad = found.select(C.own(found, id_col).alias("id"), "text_key").distinct()
     return C.matched(docs, bad, id_col, text_col, "left_anti")
 
 

@@ -6,7 +6,6 @@ import zlib
 from collections import Counter, defaultdict
 from itertools import permutations
 
-import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -81,15 +80,6 @@ def test_audit_slowly(spark, odd, empty):
     assert filter_audit.audit(empty, labels).collect() == []
 
 
-def test_audit_is_its_sql(spark):
-    duck = duckdb.connect()
-    for t in ("documents", "labels"):
-        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    want = duck.execute(filter_audit.ORACLE_SQL["op11_filter_audit"])
-    names = [c[0] for c in want.description]
-    assert sorted(map(tuple, filter_audit.op11_filter_audit(spark, SF).select(*names).collect())) == sorted(want.fetchall())
-
-
 def test_survivors_by_subset(spark):
     counted = spark.createDataFrame([("p", True, False, 3), ("p", False, True, 5), ("p", False, False, 7), ("q", True, True, 2)], "part string, x boolean, y boolean, n long").withColumns({"good": F.lit(True), "toxic": F.col("x")})
     got = {(r.part, r.subset): (r.n, r.good, r.toxic) for r in filter_audit.survivors(counted, ["x", "y"]).collect()}

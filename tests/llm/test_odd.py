@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import common, decontaminate, language_id, license_scan, mix, near_dedup, shard, token_counts, url_filter
+from quarry.llm import common, decontaminate, language_id, license_scan, lm_score, mix, near_dedup, shard, token_counts, url_filter
 from quarry.llm import queries as llm
 
 SF = "/root/testdata/sf0.001"
@@ -229,7 +229,7 @@ def test_taken_slowly(spark):
 @pytest.mark.parametrize("name", sorted(llm.ORACLE_SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = llm.QUERIES[name](spark, SF)
     cols = sorted(got.columns)
@@ -247,6 +247,32 @@ def test_very_long_texts(spark):
     assert language_id.accepted(docs).count() >= 1 and near_dedup.near_duplicates(docs).count() == 3
     assert shard.shard_documents(docs).count() == 3 and mix.mix_sources(docs).count() == 3
     assert url_filter.judge_urls(spark.createDataFrame([(1, "http://a.com/" + "b" * 2_000_000)], "page_id long, url string")).count() == 1
+    item = spark.createDataFrame([(1, "mit license word " * 9), (2, "z " * 20)], "item_id long, text string")
+    found = {r.doc_id: (r.n_words, r.n_hit, len(r.spans), r.items) for r in decontaminate.decontaminate(docs, item).collect()}
+    assert found == {1: (90_000, 90_000, 1, ["1"]), 2: (1, 0, 0, []), 3: (0, 0, 0, [])}
+
+
+def test_very_long_texts_scored(spark, tmp_path):
+    rows = [(1, "mit license word " * 30_000), (2, "y" * 300_000), (3, " " * 2_000_000), (4, "a b c")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    found = {r.doc_id: r for r in lm_score.score(spark.read.parquet(str(tmp_path / "d")), F.lit(True)).collect()}
+    assert {k: r.n_tokens for k, r in found.items()} == {1: 90_001, 2: 2, 3: 1, 4: 4}
+    assert all(np.isfinite(r.score) and r.score <= 0 for r in found.values())
+
+
+def test_many_hits_in_one_document(spark):
+    """Apart, touching and overlapping: as many as the text has, in time linear in them; a window that many items share."""
+    words = [f"w{k}" for k in range(13)]
+    item = [(k, " ".join(words)) for k in range(30_000)] + [(None, " ".join(words)), (7, " ".join(words[:5]))]
+    text = " ".join([*words, "gap"] * 20_000 + words * 2)
+    docs = spark.createDataFrame([(1, text), (2, " ".join(words[:5])), (3, "w1 w2")], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.decontaminate(docs, spark.createDataFrame(item, "item_id long, text string")).collect()}
+    assert (got[1].n_words, got[1].n_hit, len(got[1].spans), len(got[1].items)) == (280_026, 260_026, 20_001, 30_000) and got[1].contaminated
+    assert (got[2].n_hit, got[2].items, got[3].n_hit, got[3].items) == (5, ["7"], 0, [])
+    assert got[1].spans[0].asDict() == {"start": 0, "end": 13} and got[1].spans[-1].asDict() == {"start": 280_000, "end": 280_026}
+    strange = docs.withColumnRenamed("text", "a.text").withColumnRenamed("doc_id", "an.id")
+    odd_items = spark.createDataFrame([(1, "w1 w2")], "item_id long, text string").withColumnRenamed("text", "t.t")
+    assert decontaminate.remove_contaminated(strange, odd_items, "an.id", "a.text", item_text_col="t.t").columns == strange.columns
 
 
 def test_batches_follow_bytes(spark):
