@@ -29,17 +29,44 @@ def named(checks: Sequence[tuple[str, Column]]) -> Column:
     return F.concat(*each) if each else none
 
 
+def word_tokens(text: Column) -> Column:
+    """The whole words of a text: runs of letters, digits and underscores."""
+    return F.split(text, r"[^\p{L}\p{N}_]+")
+
+
+def _strings(values: Sequence[str]) -> Column:
+    return F.array(*map(F.lit, values)).cast("array<string>")
+
+
+def _by_tokens(words: Sequence[str]) -> tuple[list[str], list[str], list[str], list[str]]:
+    """Those of ``words`` that are one token, those of several, the first tokens of these, and those without any."""
+    single = [w for w in words if re.fullmatch(r"\w+", w)]
+    several = [w for w in words if w not in single and re.search(r"\w", w)]
+    heads = list(dict.fromkeys(re.search(r"\w+", w).group() for w in several))  # type: ignore[union-attr]
+    return single, several, heads, [w for w in words if not re.search(r"\w", w)]
+
+
 def words_found(text: Column, words: Sequence[str]) -> Column:
-    """Those of ``words`` that stand in ``text`` as whole words, in their own order.  ``text`` is lower-cased already."""
-    return named([(w, has_word(text, w)) for w in words])
+    """Those of ``words`` that stand in ``text`` as whole words, in their own order, each once.  ``text`` is lower-cased already.
+
+    The text is cut into words once and these are met with the list by hash, however long it is.  What has several words, or
+    signs, is only looked for where its first word was found.
+    """
+    single, several, heads, signs = _by_tokens(words)
+    if not words:
+        return F.array().cast("array<string>")
+    tokens = word_tokens(text)
+    found = [F.array_intersect(_strings(single), tokens)] if single else []
+    if several:
+        found.append(F.when(F.arrays_overlap(_strings(heads), tokens), named([(w, has_word(text, w)) for w in several])).otherwise(F.array().cast("array<string>")))
+    if signs:
+        found.append(named([(w, has_word(text, w)) for w in signs]))
+    return found[0] if len(found) == 1 and not signs else F.array_intersect(_strings(words), F.concat(*found))
 
 
 def any_word(text: Column, words: Sequence[str]) -> Column:
     """Whether any of ``words`` stands in ``text`` as a whole word."""
-    out = F.lit(False)
-    for w in words:
-        out = out | has_word(text, w)
-    return out
+    return F.size(words_found(text, words)) > 0
 
 
 def reject_signals(caption: Column, reject: Sequence[str], paired: Sequence[str] = (), indicators: Sequence[str] = ()) -> Column:

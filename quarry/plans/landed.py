@@ -347,6 +347,32 @@ def stream_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").select("listing", "page", F.col("streak").cast("bigint").alias("streak"), "stop")
 
 
+SQL_LATE = """SELECT *, row_number() OVER (PARTITION BY listing ORDER BY page) - 1 AS number FROM (SELECT DISTINCT l_suppkey % 20 AS listing, l_orderkey AS page, l_orderkey % 3 = 0 AS found FROM lineitem)"""
+
+
+@query(f"""SELECT listing, page, streak, streak >= 3 AS stop FROM (SELECT *, row_number() OVER (PARTITION BY listing, run ORDER BY page) - CASE WHEN run = 0 THEN 0 ELSE 1 END AS streak FROM (
+    SELECT *, sum(CASE WHEN found THEN 1 ELSE 0 END) OVER (PARTITION BY listing ORDER BY page) AS run FROM ({SQL_LATE})))
+    QUALIFY max(CASE WHEN streak >= 3 THEN 1 ELSE 0 END) OVER (PARTITION BY listing ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) IS DISTINCT FROM 1""")
+def stream_late_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings' pages in three batches, each page in any of them; held until those before it came, so that the streaks are the same."""
+    pages = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 20).alias("listing"), F.col("l_orderkey").alias("page"), (F.col("l_orderkey") % 3 == 0).alias("found")).distinct()
+    pages = pages.withColumn("number", (F.row_number().over(Window.partitionBy("listing").orderBy("page")) - 1).cast("bigint"))
+    base = files.scratch(spark, "late")
+    for part in (2, 0, 1):
+        pages.filter(F.pmod(F.xxhash64("page"), F.lit(3)) == part).write.mode("append").parquet(f"{base}/in")
+        stream = incremental.arriving(spark, f"{base}/in", "listing long, page long, found boolean, number long")
+        incremental.append_to(incremental.late_streaks(stream, "listing", "number", "page", "found", 3), f"{base}/out", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("listing", "page", F.col("streak").cast("bigint").alias("streak"), "stop")
+
+
+@query("""SELECT DISTINCT o_custkey % 50 AS listing, o_orderkey // 100 AS page FROM orders WHERE floor(o_totalprice / 2000) NOT IN (SELECT floor(o_totalprice / 2000) FROM orders WHERE o_orderkey % 7 = 0)""")
+def unseen_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that a connector goes through: those with an item it hasn't seen."""
+    rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("listing"), F.floor(F.col("o_orderkey") / 100).alias("page"), F.floor(F.col("o_totalprice") / 2000).alias("item"), "o_orderkey")
+    pages = rows.select("listing", "page").distinct()
+    return incremental.unseen_pages(pages, rows, rows.filter("o_orderkey % 7 = 0"), ["listing", "page"], "item")
+
+
 def sql_arrivals(candidates: str, urls: str = "[]::BIGINT[]", contents: str = "[]::BIGINT[]") -> str:
     """Items (k: place from 1, doc_id, u, c) one after another, with lists of what was taken."""
     return f"""WITH RECURSIVE d AS ({candidates}), r(k, doc_id, outcome, urls, contents) AS (

@@ -495,6 +495,26 @@ def contact_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sync.contact_sheet(pages, "by", "page_id", "url", "page_id").select("by", "page", "n", F.sha2("html", 256).alias("html"))
 
 
+@query("""SELECT coalesce(s.k, t.k) AS path, CASE WHEN t.k IS NULL THEN 'copy' WHEN s.k IS NULL THEN 'delete' WHEN s.v IS NOT DISTINCT FROM t.v THEN 'keep' ELSE 'update' END AS action
+    FROM (SELECT source || '/' || doc_id AS k, n_chars AS v FROM documents WHERE doc_id % 211 <> 5 AND source IS NOT NULL) s
+    FULL OUTER JOIN (SELECT source || '/' || doc_id AS k, CASE WHEN doc_id % 97 = 3 THEN n_chars + 1 ELSE n_chars END AS v FROM documents WHERE doc_id % 307 <> 11 AND source IS NOT NULL) t ON s.k = t.k""")
+def sync_by_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mirror that is nearly up to date: only what differs by its digests is joined."""
+    docs = table(spark, sf_dir, "documents").filter("source IS NOT NULL").withColumn("path", F.concat("source", F.lit("/"), "doc_id"))
+    source = docs.filter("doc_id % 211 <> 5").select("path", F.col("n_chars").cast("bigint").alias("v"))
+    target = docs.filter("doc_id % 307 <> 11").select("path", F.when(F.col("doc_id") % 97 == 3, F.col("n_chars") + 1).otherwise(F.col("n_chars")).cast("bigint").alias("v"))
+    return sync.sync_plan_by_digests(source, target, "path", "v")
+
+
+FULL_LIST = config.dataset("grok").reject
+
+
+@query(f"SELECT doc_id, array_to_string({_sql_found(FULL_LIST + REJECT)}, ',') AS signals FROM (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents)")
+def caption_full_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reject words of a dataset, and some that occur here, in one pass over each text."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.reject_signals(F.col("text"), FULL_LIST + REJECT), ",").alias("signals"))
+
+
 @query("SELECT CASE WHEN doc_id % 31 = 7 THEN 'error' WHEN quality = 0 THEN 'rejected' ELSE 'passed' END AS bucket, count(*) AS n FROM labels GROUP BY 1")
 def caption_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     captions = table(spark, sf_dir, "labels").select(F.when(F.col("doc_id") % 31 == 7, "timeout").alias("error"), (F.col("quality") == 0).alias("should_reject"))

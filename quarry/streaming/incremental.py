@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import threading
 import time
 from collections.abc import Callable, Iterator, Sequence
@@ -105,3 +106,39 @@ def barren_streaks(stream: DataFrame, by: str, order: str, yielded: str, most: i
     fields = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
     schema = f"{by} {fields[by]}, {order} {fields[order]}, streak int, stop boolean"
     return stream.select(by, order, F.col(yielded)).groupBy(by).applyInPandasWithState(follow, schema, "streak int", "append", GroupStateTimeout.NoTimeout)
+
+
+def late_streaks(stream: DataFrame, by: str, number: str, page: str, yielded: str, most: int, wait: str | None = None) -> DataFrame:
+    """``by, page, streak, stop`` as ``barren_streaks``, for pages that arrive in any order: ``number`` counts a listing's pages from 0, and a page
+    is held until all before it have come.  With ``wait`` (in a query that goes on), what is held is let go in order when that time
+    has passed without a new page.  After a stop nothing is held, and a page that comes twice counts once."""
+
+    def follow(key: tuple[Any, ...], pages: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        due, streak, held = state.get if state.exists else (0, 0, "{}")
+        waiting = {int(k): v for k, v in json.loads(held).items()}
+        for batch in pages:
+            for n, p, y in batch[[number, page, yielded]].itertuples(index=False):
+                if n >= due and streak < most:
+                    waiting.setdefault(int(n), (p if isinstance(p, str) else int(p), bool(y)))
+        rows = []
+        while waiting and streak < most and (due in waiting or state.hasTimedOut):
+            due = due if due in waiting else min(waiting)
+            p, y = waiting.pop(due)
+            streak = 0 if y else streak + 1
+            rows.append((key[0], p, streak, streak >= most))
+            due += 1
+        state.update((due, streak, json.dumps({} if streak >= most else waiting)))
+        if wait and waiting:
+            state.setTimeoutDuration(wait)
+        yield pd.DataFrame(rows, columns=[by, page, "streak", "stop"])
+
+    fields = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
+    schema = f"{by} {fields[by]}, {page} {fields[page]}, streak int, stop boolean"
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if wait else GroupStateTimeout.NoTimeout
+    return stream.select(by, number, page, yielded).groupBy(by).applyInPandasWithState(follow, schema, "due long, streak int, held string", "append", timeout)
+
+
+def unseen_pages(pages: DataFrame, items: DataFrame, seen: DataFrame, page: Sequence[str], key: str) -> DataFrame:
+    """Pages of which at least one item isn't among those seen; the others are skipped."""
+    new = items.join(seen.select(key).distinct(), key, "left_anti").select(*page).distinct()
+    return pages.join(new, list(page), "left_semi")

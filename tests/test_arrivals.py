@@ -96,3 +96,30 @@ def test_stream_stops_by_itself(spark, tmp_path):
     assert sorted(r.n for r in table.read(ITEM).collect()) == list(range(23))
     assert incremental.take_until(incremental.arriving(spark, src, ITEM, files_per_batch=1), table, str(tmp_path / "mark"), ["n"], 30, 120) == 30
     assert sorted(r.n for r in table.read(ITEM).collect()) == [*range(23), *range(30, 37)]  # the rest of the cut batch is given up
+
+
+def test_pages_in_any_order(spark, tmp_path):
+    rng, src, out = np.random.default_rng(1), str(tmp_path / "in"), str(tmp_path / "out")
+    pages = [(q, n, 100 + n, bool(rng.random() < 0.4)) for q in "abc" for n in range(20)]
+    schema = "q string, number long, page int, got boolean"
+    ordered = spark.createDataFrame(pages, schema)
+    want = [(r.q, r.page, r.streak) for r in items.until_barren(ordered, ["q"], "number", F.col("got"), 3).collect()]
+    shuffled = [pages[k] for k in rng.permutation(len(pages))]
+    for run in range(4):
+        spark.createDataFrame(shuffled[15 * run : 15 * run + 15] + shuffled[:5], schema).coalesce(1).write.mode("append").parquet(src)
+        stream = incremental.late_streaks(incremental.arriving(spark, src, schema), "q", "number", "page", "got", 3)
+        incremental.append_to(stream, out, str(tmp_path / "mark")).awaitTermination()
+    assert sorted((r.q, r.page, r.streak) for r in spark.read.parquet(out).collect()) == sorted(want)
+
+
+def test_mirror_by_digests(spark):
+    from quarry.operators import sync
+
+    rows = [(f"d{k % 9}/{k}.png", k % 5 if k % 11 else None) for k in range(500)]
+    a = spark.createDataFrame([r for k, r in enumerate(rows) if k != 7] + [("top.png", 1)], "k string, v int")
+    b = spark.createDataFrame([(n, v if k != 14 else 99) for k, (n, v) in enumerate(rows) if k not in (23, 32)] + [("d9/gone.png", 1)], "k string, v int")
+    got = sorted(map(tuple, sync.sync_plan_by_digests(a, b, "k", "v", fine=8).collect()))
+    assert got == sorted(map(tuple, sync.sync_plan(a, b, "k", "v").collect()))
+    assert sorted({x for _, x in got}) == ["copy", "delete", "keep", "update"]
+    assert {r.action for r in sync.sync_plan_by_digests(a, a, "k", "v").collect()} == {"keep"}
+    assert sync.sync_plan_by_digests(a.limit(0), b, "k", "v").groupBy("action").count().collect()[0].action == "delete"
