@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 #: What may stand beside a whole word: anything but letters, digits and the underscore, in all scripts.
 BEFORE, AFTER = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
 
+#: Words of a list that are looked for one by one.
+FEW = 16
+
 
 def whole_word(word: str) -> str:
     """A pattern for ``word`` as a whole word, the same in Java and in RE2."""
@@ -49,12 +52,13 @@ def _by_tokens(words: Sequence[str]) -> tuple[list[str], list[str], list[str], l
 def words_found(text: Column, words: Sequence[str]) -> Column:
     """Those of ``words`` that stand in ``text`` as whole words, in their own order, each once.  ``text`` is lower-cased already.
 
-    The text is cut into words once and these are met with the list by hash, however long it is.  What has several words, or
-    signs, is only looked for where its first word was found.
+    A long list is met with the text's words by hash, which are cut once, however long it is; what has several words is only looked
+    for where its first word was found.  Up to ``FEW`` words are looked for one by one, which takes less than cutting the text.
     """
+    words = list(dict.fromkeys(words))
+    if len(words) <= FEW:
+        return named([(w, has_word(text, w)) for w in words])
     single, several, heads, signs = _by_tokens(words)
-    if not words:
-        return F.array().cast("array<string>")
     tokens = word_tokens(text)
     found = [F.array_intersect(_strings(single), tokens)] if single else []
     if several:
@@ -66,7 +70,12 @@ def words_found(text: Column, words: Sequence[str]) -> Column:
 
 def any_word(text: Column, words: Sequence[str]) -> Column:
     """Whether any of ``words`` stands in ``text`` as a whole word."""
-    return F.size(words_found(text, words)) > 0
+    if len(words) > FEW:
+        return F.size(words_found(text, words)) > 0
+    out = F.lit(False)
+    for w in words:
+        out = out | has_word(text, w)
+    return out
 
 
 def reject_signals(caption: Column, reject: Sequence[str], paired: Sequence[str] = (), indicators: Sequence[str] = ()) -> Column:
