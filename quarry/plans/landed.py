@@ -365,10 +365,10 @@ def stream_late_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").select("listing", "page", F.col("streak").cast("bigint").alias("streak"), "stop")
 
 
-@query("""SELECT DISTINCT o_custkey % 50 AS listing, o_orderkey // 100 AS page FROM orders WHERE floor(o_totalprice / 2000) NOT IN (SELECT floor(o_totalprice / 2000) FROM orders WHERE o_orderkey % 7 = 0)""")
+@query("""SELECT DISTINCT o_custkey % 50 AS listing, o_orderkey // 100 AS page FROM orders WHERE floor(o_totalprice / 5) NOT IN (SELECT floor(o_totalprice / 5) FROM orders WHERE o_orderkey % 7 = 0)""")
 def unseen_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that a connector goes through: those with an item it hasn't seen."""
-    rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("listing"), F.floor(F.col("o_orderkey") / 100).alias("page"), F.floor(F.col("o_totalprice") / 2000).alias("item"), "o_orderkey")
+    rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("listing"), F.floor(F.col("o_orderkey") / 100).alias("page"), F.floor(F.col("o_totalprice") / 5).alias("item"), "o_orderkey")
     pages = rows.select("listing", "page").distinct()
     return incremental.unseen_pages(pages, rows, rows.filter("o_orderkey % 7 = 0"), ["listing", "page"], "item")
 
@@ -461,7 +461,7 @@ def stream_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT listing, page, count(*) AS found, count(*) - count(*) FILTER (k = 1) AS duplicates, count(*) FILTER (k = 1) = 0 AS seen FROM (
-    SELECT o_custkey % 5 AS listing, o_orderkey // 100 AS page, row_number() OVER (PARTITION BY o_custkey % 5, floor(o_totalprice / 20000) ORDER BY o_orderkey) AS k FROM orders) GROUP BY ALL""")
+    SELECT o_custkey % 5 AS listing, o_orderkey // 100 AS page, row_number() OVER (PARTITION BY o_custkey % 5, floor(o_totalprice / 50) ORDER BY o_orderkey) AS k FROM orders) GROUP BY ALL""")
 def page_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many items of each page earlier pages had, and whether they had all."""
     rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 5).alias("listing"), F.floor(F.col("o_orderkey") / 100).alias("page"), F.floor(F.col("o_totalprice") / 20000).alias("item"), "o_orderkey")
