@@ -1,20 +1,22 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
 A table's hash of a unit vector is the signed axis nearest to it after a pseudo-rotation: three rounds of random signs and
-a fast Hadamard transform.  ``k`` such axes make a bucket; k grows with the number of vectors, so that buckets keep their
-size.  Every vector is in one bucket of each of ``TABLES`` tables; a query probes those buckets of each table whose axes
-are nearest to it.  How many follows from the data, at every size and for every k: ``SAMPLED`` queries are answered by a
-scan of all vectors, and the probes are as many as reach the share ``REACHED`` of what they should find.  Candidates are
-ranked exactly, by the inner product of the original vectors in double precision.
+a fast Hadamard transform.  ``k`` such axes make a bucket.  Every vector is in one bucket of each of ``TABLES`` tables; a
+query probes those buckets of each table whose axes are nearest to it.  How many follows from the data, at every size and
+for every k: ``SAMPLED`` queries are answered by a scan of all vectors, and the probes are as many as reach the share
+``REACHED`` of what they should find.  Of the least k whose buckets have ``BUCKET`` vectors at most, and the next, that one
+is taken with which a query costs less, by what it ranks, probes and sends (``Range.cost``).  Candidates are ranked
+exactly, by the inner product of the original vectors in double precision.
 
 Vectors of different lengths are split into ranges of length, each ``RATIO`` times as long as the next; the last of the
 ``RANGES`` has all that are shorter.  Each range has tables of its own, which all queries probe.  In them vectors get one
 more coordinate that fills them up to the longest of the range, so that the largest inner product is the nearest direction
 (queries have 0 there).  So a few long vectors don't crowd the others into few buckets.
 
-A bucket's vectors and queries are split by hash into blocks of about ``BLOCK``; a task sees one block of each and returns
-each query's nearest there.  So no bucket is capped and none has to fit into a task.  Queries whose buckets hold fewer than
-``top`` vectors are ranked against all vectors, in the same blocks.
+Buckets are dealt by a hash of their first axes into units of some thousand vectors, so that a query is sent to a unit
+once, with all buckets that it probes there.  A unit's vectors and queries are split by hash into blocks of about ``BLOCK``; a task
+sees one block of each and returns each query's nearest there.  So no bucket is capped and none has to fit into a task.
+Queries whose buckets hold fewer than ``top`` vectors are ranked against all vectors, in the same blocks.
 
 Defined cases: vectors that are null or zero, hold nulls or non-finite numbers, have no id or not the commonest number of
 dimensions take no part.  Of rows with the same id the smallest vector counts, once.  Equal scores go by the smaller id.
@@ -37,10 +39,14 @@ from pyspark.sql import functions as F
 from . import common as C
 
 TABLES = 10
-BLOCK = 4096
-#: Vectors that a bucket has on average, at most.
-BUCKET = 8192
-BROADCAST_BUCKETS = 500_000
+BLOCK = 8192
+#: Vectors that a bucket has on average, at most, and a unit of buckets.
+BUCKET, UNIT = 8192, 6144
+#: What a probe and a copy of the query that is sent to a unit cost, in vectors ranked.
+PROBE, COPY = 0.25, 20
+#: Pairs that a task ranks at a time, about, and whose vectors it multiplies at a time.
+PAIRS, PRODUCTS = 1 << 20, 1 << 14
+BROADCAST_UNITS = 500_000
 #: Queries that are answered by a scan to set the probes, and the share of their neighbours that these must reach.
 SAMPLED, REACHED = 128, 0.95
 RATIO, RANGES = 1.5, 12
@@ -109,14 +115,29 @@ def places(q: np.ndarray, x: np.ndarray, table: int, k: int) -> np.ndarray:
 
 
 class Range(NamedTuple):
-    """Vectors of about one length: the longest, their tables ``first``, ``first + 1``, ..., axes of a bucket, probes."""
+    """Vectors of about one length: how many, in how many units, the longest, their tables ``first``, ``first + 1``, ...,
+    axes of a bucket, probes."""
 
+    size: int
+    units: int
     longest: float
     first: int
     tables: int
     k: int
     probes: int
 
+    def cost(self, axes: int) -> float:
+        """What a query costs in a table, in vectors ranked: those of its buckets, its probes, its copies."""
+        return self.probes * (self.size / axes**self.k + PROBE) + min(self.units, self.probes) * COPY
+
+    def unit(self, bucket: np.ndarray, axes: int) -> np.ndarray:
+        """Where buckets are sent: by as few of their first axes as tell enough units apart."""
+        j = 1
+        while j < self.k and axes**j < 4 * self.units:
+            j += 1
+        hashed = (bucket // axes ** (self.k - j) + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((hashed >> np.uint64(32)) % np.uint64(self.units)).astype(np.int32)
+
 
 def _scanned(rows: DataFrame, queries: pa.Table, top: int) -> pa.Table:
     """``query_id, vec, r`` of the ``top`` nearest of a few queries among all rows."""
@@ -164,7 +185,7 @@ def needed(q: np.ndarray, x: np.ndarray, of: Range) -> int:
 
 
 def _bucketed(vectors: DataFrame, width: int, ranges: dict[int, Range], query: bool) -> DataFrame:
-    """``id, vec, t, bucket``: a row for each bucket a vector is in, or a query probes."""
+    """``id, vec, t, unit, buckets``: a row for each unit with buckets that a vector is in, or a query probes."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,29 +200,50 @@ def _bucketed(vectors: DataFrame, width: int, ranges: dict[int, Range], query: b
                 step = max(16, EMITTED // probes)
                 for t, i in itertools.product(range(of.first, of.first + of.tables), range(0, len(at), step)):
                     b = nearest_buckets(wide[i : i + step], t, of.k, probes)
-                    rows = pa.array(np.repeat(at[i : i + len(b)], b.shape[1]))
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), vec.take(rows), pa.array(np.full(b.size, t, np.int32)), pa.array(b.ravel().astype(np.int64))], names=["id", "vec", "t", "bucket"])
+                    row, bucket = np.repeat(at[i : i + len(b)], b.shape[1]), b.ravel().astype(np.int64)
+                    unit = of.unit(bucket, 2 * width)
+                    order = np.lexsort((unit, row))
+                    row, bucket, unit = row[order], bucket[order], unit[order]
+                    starts = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (unit[1:] != unit[:-1]))))
+                    rows, lists = pa.array(row[starts]), pa.ListArray.from_arrays(pa.array(np.append(starts, len(row)).astype(np.int32)), pa.array(bucket))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(rows), vec.take(rows), pa.array(np.full(len(starts), t, np.int32)), pa.array(unit[starts]), lists], names=["id", "vec", "t", "unit", "buckets"]
+                    )
 
-    return vectors.select("id", "vec", "r").mapInArrow(C.released(place), "id bigint, vec array<double>, t int, bucket bigint")
+    return vectors.select("id", "vec", "r").mapInArrow(C.released(place), "id bigint, vec array<double>, t int, unit int, buckets array<bigint>")
 
 
 def _ranked(top: int) -> Callable[[tuple[pa.Scalar, ...], pa.Table, pa.Table], pa.Table]:
-    """Each query's ``top`` nearest of a block, equal scores by id."""
+    """Each query's ``top`` nearest of the vectors of a block that are in its buckets, equal scores by id."""
 
     def rank(key: tuple[pa.Scalar, ...], queries: pa.Table, block: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
         if len(queries) and len(block):
-            own, ids = queries["id"].to_numpy(), block["id"].to_numpy()
-            order = np.argsort(ids, kind="stable")
+            ids, held = block["id"].to_numpy(), block["buckets"].combine_chunks().flatten().to_numpy()  # a vector is in one
+            order = np.lexsort((ids, held))
             q, x = (t["vec"].combine_chunks().flatten().to_numpy().reshape(len(t), -1) for t in (queries, block))
-            ids, x = ids[order], x[order]
-            for i in range(0, len(own), 256):
-                score = np.einsum("qd,cd->qc", q[i : i + 256], x)  # the same sum for equal vectors, wherever they stand
-                score[own[i : i + 256, None] == ids[None, :]] = -np.inf
-                best = np.argsort(-score, axis=1, kind="stable")[:, :top]
-                value = np.take_along_axis(score, best, axis=1)
-                kept = value > -np.inf
-                out.append((np.broadcast_to(own[i : i + 256, None], best.shape)[kept], ids[best][kept], value[kept]))
+            ids, x, held = ids[order], x[order], held[order]
+            own, probed = queries["id"].to_numpy(), queries["buckets"].combine_chunks()
+            asking, probed = np.repeat(np.arange(len(own)), probed.value_lengths().to_numpy()), probed.flatten().to_numpy()
+            first = np.searchsorted(held, probed, "left")
+            many = np.searchsorted(held, probed, "right") - first
+            ends = np.cumsum(np.bincount(asking, many, len(own)).astype(np.int64))
+            done = 0
+            while done < len(own):
+                # whole queries; one has no more pairs than the block has vectors
+                to = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + PAIRS, "right")))
+                a, b = np.searchsorted(asking, (done, to))
+                n = many[a:b]
+                i = np.repeat(asking[a:b], n)
+                j = np.arange(len(i)) + np.repeat(first[a:b] - (np.cumsum(n) - n), n)
+                other = ids[j] != own[i]
+                i, j, done = i[other], j[other], to
+                score = np.concatenate([np.einsum("pd,pd->p", q[i[m : m + PRODUCTS]], x[j[m : m + PRODUCTS]]) for m in range(0, len(i), PRODUCTS)] or [np.zeros(0)])
+                order = np.lexsort((ids[j], -score, i))
+                i, j, score = i[order], j[order], score[order]
+                place = np.arange(len(i)) - np.searchsorted(i, i, "left")
+                near = place < top
+                out.append((own[i[near]], ids[j[near]], score[near]))
         a, b, s = (np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         return pa.Table.from_arrays([pa.array(a), pa.array(b), pa.array(s)], names=["query_id", "vec_id", "score"])
 
@@ -230,9 +272,11 @@ def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str
         k = 1
         while size > bucket_size * (2 * width) ** k:
             k += 1
-        of = Range(most or 1.0, i * tables, tables, k, 1)
+        of = Range(size, -(-size // UNIT), most or 1.0, i * tables, tables, k, 1)
         if found is not None and (mine := found["r"].to_numpy() == r).any():
-            of = of._replace(probes=needed(asking[mine], _widened(x[mine], width, of.longest), of))
+            filled = _widened(x[mine], width, of.longest)
+            both = [of._replace(k=k), of._replace(k=k + 1)]
+            of = min((o._replace(probes=needed(asking[mine], filled, o)) for o in both), key=lambda o: o.cost(2 * width))
         ranges[r] = of
     inside, asked = _bucketed(rows, width, ranges, False), _bucketed(rows.filter(is_query), width, ranges, True)
 
@@ -241,7 +285,7 @@ def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str
     short = rows.filter(is_query).join(counts, "id", "left").filter(F.coalesce("found", F.lit(0)) < min(top, n - 1)).select("id", "vec", "r")
     short = C.cut(short)
     if short.limit(1).count():
-        one = [F.lit(-1).alias("t"), F.lit(0).cast("bigint").alias("bucket")]  # all vectors as one bucket
+        one = [F.lit(-1).alias("t"), F.lit(0).alias("unit"), F.array(F.lit(0).cast("bigint")).alias("buckets")]  # all vectors as one bucket
         all_ = rows.select(F.col("id").alias("id"), F.col("vec").alias("vec"), *one)  # columns that short's can be told from
         rest = _best(_met(all_, short.select("id", "vec", *one), top, block), top)
         near = near.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionAll(rest)
@@ -249,20 +293,20 @@ def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str
 
 
 def _met(inside: DataFrame, asked: DataFrame, top: int, block: int) -> DataFrame:
-    """``query_id, vec_id, score`` of the ``top`` nearest of each query in each block of its buckets."""
+    """``query_id, vec_id, score`` of the ``top`` nearest of each query in each block of its units."""
 
     def blocks(of: DataFrame, name: str) -> DataFrame:
-        return of.groupBy("t", "bucket").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+        return of.groupBy("t", "unit").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
 
-    keys = ["t", "bucket"]
+    keys = ["t", "unit"]
     sizes = C.cut(blocks(inside, "c_blocks").join(blocks(asked, "q_blocks"), keys))
-    sizes = C.bounded_broadcast(sizes, sizes.count(), BROADCAST_BUCKETS)
+    sizes = C.bounded_broadcast(sizes, sizes.count(), BROADCAST_UNITS)
 
     def dealt(of: DataFrame, own: str, other: str, mine: str, theirs: str) -> DataFrame:
         placed = of.join(sizes, keys).withColumn(mine, F.pmod(F.xxhash64("id"), F.col(own)).cast("int"))
-        return placed.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select("t", "bucket", "q", "c", "id", "vec")
+        return placed.withColumn(theirs, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select("t", "unit", "q", "c", "id", "vec", "buckets")
 
-    units = ["t", "bucket", "q", "c"]
+    units = ["t", "unit", "q", "c"]
     left, right = dealt(asked, "q_blocks", "c_blocks", "q", "c").groupBy(*units), dealt(inside, "c_blocks", "q_blocks", "c", "q").groupBy(*units)
     return left.cogroup(right).applyInArrow(_ranked(top), "query_id bigint, vec_id bigint, score double")
 

@@ -401,18 +401,28 @@ def reached(spark, x, **options):
     return len(got & want) / len(want)
 
 
-@pytest.mark.parametrize(("bucket_size", "dimensions"), [(8192, 64), (16, 64), (1, 14)])
-def test_neighbours_by_axes(spark, monkeypatch, bucket_size, dimensions):
-    """One, two and three axes a bucket: recall, and the share of all vectors that a query is ranked against."""
-    seen, met, taken, needed = [], ann._met, [], ann.needed
-    monkeypatch.setattr(ann, "_met", lambda inside, asked, *a: seen.append(inside.join(asked, ["t", "bucket"]).count()) or met(inside, asked, *a))
+@pytest.mark.parametrize(("axes", "dimensions", "unit"), [(1, 64, 6144), (2, 64, 6144), (2, 64, 100), (3, 14, 500), (None, 64, 6144)])
+def test_neighbours_by_axes(spark, monkeypatch, axes, dimensions, unit):
+    """One, two and three axes a bucket, in one unit and many: recall, and the share of all vectors that a query is ranked
+    against.  None: the number of axes by cost."""
+    seen, met, taken, needed, cost = [], ann._met, [], ann.needed, ann.Range.cost
+
+    def counted(inside, asked, *a):
+        probed = asked.select("t", F.explode("buckets").alias("bucket"))
+        seen.append(inside.select("t", F.col("buckets")[0].alias("bucket")).join(probed, ["t", "bucket"]).count())
+        return met(inside, asked, *a)
+
+    monkeypatch.setattr(ann, "_met", counted)
+    monkeypatch.setattr(ann, "UNIT", unit)
     monkeypatch.setattr(ann, "needed", lambda q, x, of: taken.append((of.k, needed(q, x, of))) or taken[-1][1])
+    monkeypatch.setattr(ann.Range, "cost", lambda of, n: cost(of, n) if axes is None else abs(of.k - axes))
     rng = np.random.default_rng(6)
     x = rng.normal(size=(6000, dimensions)) + 0.8 * rng.normal(size=(200, dimensions))[rng.integers(0, 200, 6000)]
     x /= np.linalg.norm(x, axis=1)[:, None]
-    recall = reached(spark, x, bucket_size=bucket_size)
+    recall = reached(spark, x, **({"bucket_size": 16} if axes == 3 else {}))
     print(f"axes and probes {taken}, recall {recall:.3f}, met {seen[0] / (30 * 6000):.3f} of all pairs, copies counted")
-    assert recall >= 0.9 and {k for k, _ in taken} == {{8192: 1, 16: 2, 1: 3}[bucket_size]}
+    assert recall >= 0.9 and [k for k, _ in taken] == ([2, 3] if axes == 3 else [1, 2])
+    assert axes is not None or seen[0] < 0.25 * 30 * 6000
 
 
 def test_short_lists_are_filled(spark, monkeypatch):
@@ -430,7 +440,7 @@ def test_neighbours_beside_a_long_vector(spark, monkeypatch):
     x /= np.linalg.norm(x, axis=1)[:, None]
     x[1] *= 10
     assert reached(spark, x) >= 0.9
-    alone, others = taken  # the probes in the range of the long vector, and in that of the others
+    alone, _, others, _ = taken  # with one axis and with two: the probes in the range of the long vector, and in that of the others
     assert alone < 64 and others <= 20  # by direction, not by nearly all 256 buckets
 
 
