@@ -13,9 +13,9 @@ Vectors of different lengths are split into ranges of length, each ``RATIO`` tim
 more coordinate that fills them up to the longest of the range, so that the largest inner product is the nearest direction
 (queries have 0 there).  So a few long vectors don't crowd the others into few buckets.
 
-Buckets are dealt by a hash of their first axes into units of some thousand vectors, so that a query is sent to a unit
-once, with all buckets that it probes there.  A unit's vectors and queries are split by hash into blocks of about ``BLOCK``; a task
-sees one block of each and returns each query's nearest there.  So no bucket is capped and none has to fit into a task.
+Buckets are dealt by a hash of their first axes into units of as many vectors as a task holds (``UNIT_BYTES``), so that a
+query is sent to a unit once, with all buckets that it probes there.  A unit's vectors and queries are split by hash into
+blocks (``BLOCK_BYTES`` of vectors, ``BLOCK`` queries); a task sees one block of each and returns each query's nearest there.  So no bucket is capped and none has to fit into a task.
 Queries whose buckets hold fewer than ``top`` vectors are ranked against all vectors, in the same blocks.
 
 Defined cases: vectors that are null or zero, hold nulls or non-finite numbers, have no id or not the commonest number of
@@ -39,13 +39,16 @@ from pyspark.sql import functions as F
 from . import common as C
 
 TABLES = 10
-BLOCK = 8192
-#: Vectors that a bucket has on average, at most, and a unit of buckets.
-BUCKET, UNIT = 8192, 6144
+#: Queries of a block, and rows that a scan multiplies at a time.
+BLOCK = 4096
+#: Vectors that a bucket has on average, at most.
+BUCKET = 8192
+#: Bytes of vectors that a unit has on average, at most, and a block.
+UNIT_BYTES, BLOCK_BYTES = 32 << 20, 48 << 20
 #: What a probe and a copy of the query that is sent to a unit cost, in vectors ranked.
 PROBE, COPY = 0.25, 20
 #: Pairs that a task ranks at a time, about, and whose vectors it multiplies at a time.
-PAIRS, PRODUCTS = 1 << 20, 1 << 14
+PAIRS, PRODUCTS = 1 << 18, 1 << 14
 BROADCAST_UNITS = 500_000
 #: Queries that are answered by a scan to set the probes, and the share of their neighbours that these must reach.
 SAMPLED, REACHED = 128, 0.95
@@ -250,7 +253,7 @@ def _ranked(top: int) -> Callable[[tuple[pa.Scalar, ...], pa.Table, pa.Table], p
     return rank
 
 
-def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, block: int = BLOCK, bucket_size: int = BUCKET) -> DataFrame:
+def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, block: int | None = None, bucket_size: int = BUCKET) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``top`` nearest found of each row for which ``is_query`` (of the column ``id``) holds."""
     rows = C.cut(usable(vectors, id_col, vector_col))
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
@@ -272,7 +275,7 @@ def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str
         k = 1
         while size > bucket_size * (2 * width) ** k:
             k += 1
-        of = Range(size, -(-size // UNIT), most or 1.0, i * tables, tables, k, 1)
+        of = Range(size, -(-size * d * 8 // UNIT_BYTES), most or 1.0, i * tables, tables, k, 1)
         if found is not None and (mine := found["r"].to_numpy() == r).any():
             filled = _widened(x[mine], width, of.longest)
             both = [of._replace(k=k), of._replace(k=k + 1)]
@@ -280,26 +283,27 @@ def neighbours(vectors: DataFrame, is_query: Column, top: int = 20, id_col: str
         ranges[r] = of
     inside, asked = _bucketed(rows, width, ranges, False), _bucketed(rows.filter(is_query), width, ranges, True)
 
-    near = C.cut(_best(_met(inside, asked, top, block), top))
+    blocks = (block or BLOCK, block or max(1, BLOCK_BYTES // (8 * d)))
+    near = C.cut(_best(_met(inside, asked, top, *blocks), top))
     counts = near.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("found"))
     short = rows.filter(is_query).join(counts, "id", "left").filter(F.coalesce("found", F.lit(0)) < min(top, n - 1)).select("id", "vec", "r")
     short = C.cut(short)
     if short.limit(1).count():
         one = [F.lit(-1).alias("t"), F.lit(0).alias("unit"), F.array(F.lit(0).cast("bigint")).alias("buckets")]  # all vectors as one bucket
         all_ = rows.select(F.col("id").alias("id"), F.col("vec").alias("vec"), *one)  # columns that short's can be told from
-        rest = _best(_met(all_, short.select("id", "vec", *one), top, block), top)
+        rest = _best(_met(all_, short.select("id", "vec", *one), top, *blocks), top)
         near = near.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionAll(rest)
     return near
 
 
-def _met(inside: DataFrame, asked: DataFrame, top: int, block: int) -> DataFrame:
+def _met(inside: DataFrame, asked: DataFrame, top: int, q_block: int, c_block: int) -> DataFrame:
     """``query_id, vec_id, score`` of the ``top`` nearest of each query in each block of its units."""
 
-    def blocks(of: DataFrame, name: str) -> DataFrame:
+    def blocks(of: DataFrame, name: str, block: int) -> DataFrame:
         return of.groupBy("t", "unit").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
 
     keys = ["t", "unit"]
-    sizes = C.cut(blocks(inside, "c_blocks").join(blocks(asked, "q_blocks"), keys))
+    sizes = C.cut(blocks(inside, "c_blocks", c_block).join(blocks(asked, "q_blocks", q_block), keys))
     sizes = C.bounded_broadcast(sizes, sizes.count(), BROADCAST_UNITS)
 
     def dealt(of: DataFrame, own: str, other: str, mine: str, theirs: str) -> DataFrame:

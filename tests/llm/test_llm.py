@@ -413,7 +413,7 @@ def test_neighbours_by_axes(spark, monkeypatch, axes, dimensions, unit):
         return met(inside, asked, *a)
 
     monkeypatch.setattr(ann, "_met", counted)
-    monkeypatch.setattr(ann, "UNIT", unit)
+    monkeypatch.setattr(ann, "UNIT_BYTES", unit * 8 * dimensions)
     monkeypatch.setattr(ann, "needed", lambda q, x, of: taken.append((of.k, needed(q, x, of))) or taken[-1][1])
     monkeypatch.setattr(ann.Range, "cost", lambda of, n: cost(of, n) if axes is None else abs(of.k - axes))
     rng = np.random.default_rng(6)
