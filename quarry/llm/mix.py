@@ -47,20 +47,32 @@ def _keys(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> tuple
 def source_targets(units: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """``source, source_size, units, target``: the share of all words by weight, no target above ``most`` times its source.
 
-    Sources fill up in the order of capacity by weight; what the full ones leave is the others' by weight.  There is one
-    row for each source here, so its windows over all rows are small.
+    The level at which the sources' targets, each its weight times the level or what it holds at most, come to that share is
+    found by Newton's method: a round sums what the full ones hold and the others' weights, and gives the next level, until
+    no source more is full.  The sum of targets is concave in the level, so rounds are few.  Turns are numbered by ranges of
+    sources, each after the counts of those before it; the one window over all rows has a row for each range of
+    ``C.ROWS_A_PARTITION`` sources.
     """
-    sources = units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count("*").alias("units"))
-    turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
+    sources = C.cut(units.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count("*").alias("units")))
+    n, words = sources.agg(F.count("*"), F.sum("source_size")).first()
+    by = F.col("source").asc_nulls_last()
+    dealt = C.cut(sources.repartitionByRange(max(1, -(-n // C.ROWS_A_PARTITION)), by).withColumn("range", F.spark_partition_id()))
+    before = F.coalesce(F.sum("count").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = dealt.groupBy("range").count().select("range", before.alias("start"))
+    turn = (F.col("start") + F.row_number().over(Window.partitionBy("range").orderBy(by)) - 1) % len(weights)
     capacity = F.col("source_size") * F.lit(float(most))
-    table = sources.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (turn + 1).cast("int"))).withColumn("capacity", capacity)
-    fill = Window.orderBy(F.col("capacity") / F.col("weight"), F.col("source").asc_nulls_last())
-    before, after = fill.rowsBetween(Window.unboundedPreceding, -1), fill.rowsBetween(0, Window.unboundedFollowing)
-    total = F.sum("source_size").over(Window.partitionBy()) * F.lit(float(share))
-    level = (total - F.coalesce(F.sum("capacity").over(before), F.lit(0.0))) / F.sum("weight").over(after)
-    levelled = table.withColumn("level", level).withColumn("full", F.col("capacity") <= F.col("level") * F.col("weight"))
-    water = F.first(F.when(~F.col("full"), F.col("level")), ignorenulls=True).over(fill.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return levelled.withColumn("water", water).select("source", "source_size", "units", F.when(F.col("full"), F.col("capacity")).otherwise(F.col("water") * F.col("weight")).alias("target"))
+    weight = F.element_at(F.array(*map(F.lit, weights)), (turn + 1).cast("int"))
+    table = C.cut(dealt.join(starts, "range").withColumn("weight", weight).withColumn("capacity", capacity).drop("range", "start"))
+
+    wanted, level = float(share) * (words or 0), 0.0
+    while True:
+        full = F.col("capacity") <= F.lit(level) * F.col("weight")
+        held, rest = table.agg(F.sum(F.when(full, F.col("capacity"))), F.sum(F.when(~full, F.col("weight")))).first()
+        rises = rest and (wanted - (held or 0.0)) / rest
+        if not rises or rises <= level:
+            break
+        level = rises
+    return table.select("source", "source_size", "units", F.when(full, F.col("capacity")).otherwise(F.lit(level) * F.col("weight")).alias("target"))
 
 
 def _uniform(*cols: Column) -> Column:
@@ -112,9 +124,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row for each unit (rows with the same id, source and text): keys ``u1, u2``, id, source, ``size``, ``rows``,
     ``source_size``, ``target`` and ``copies``, the times its rows are taken together."""
     u1, u2 = _keys(docs, id_col, source_col, text_col)
-    rows = docs.select(u1.alias("u1"), u2.alias("u2"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"))
+    rows = docs.select(u1.alias("u1"), u2.alias("u2"), C.own(docs, id_col).alias("id"), C.own(docs, source_col).alias("source"), size_of(C.own(docs, text_col)).alias("size"))
     units = C.cut(rows.groupBy("u1", "u2", "id", "source", "size").agg(F.count("*").alias("rows")))
-    targets = C.cut(source_targets(units, weights, share, most))
+    targets = source_targets(units, weights, share, most)
     n, largest = targets.agg(F.count("*"), F.max("units")).first()
     near = C.bounded_broadcast(targets.withColumnRenamed("source", "its"), n, BROADCAST_SOURCES)
     wanted = F.when(F.col("source_size") > 0, F.col("rows") * F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

@@ -101,6 +101,7 @@ def path(url: Column) -> Column:
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: Sequence[HostRule] = RULES, globs: Sequence[str] = GLOBS) -> DataFrame:
     """One row for each page: its id, host, path, ``rule`` (the host rule that decides, else null), ``globs`` (those of the
     method that match) and ``verdict``: the rule's, else block if a glob matches, else allow."""
+    C.importable(pages.sparkSession)
     ranked = sorted(rules, key=lambda r: -len(r.text))
     patterns = [x for r in ranked for x in (f"{r.text}**", f"*.{r.text}**")] + list(globs)
     names, verdicts = [r.text for r in ranked] + [None], [r.verdict for r in ranked]
@@ -119,8 +120,9 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 matched = [[globs[k] for k in np.flatnonzero(row)] for row in own]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j], batch.column(2)[i:j], pa.array([names[r] for r in rule], pa.string()), pa.array(matched, pa.list_(pa.string())), pa.array(verdict, pa.string())], names=["id", "host", "path", "rule", "globs", "verdict"])
 
-    h, p = host(F.col(url_col)), path(F.col(url_col))
-    rows = pages.select(F.col(id_col).alias("id"), h.alias("host"), p.alias("path"), F.concat(h, p).alias("canonical"))
+    url = C.own(pages, url_col)
+    h, p = host(url), path(url)
+    rows = pages.select(C.own(pages, id_col).alias("id"), h.alias("host"), p.alias("path"), F.concat(h, p).alias("canonical"))
     return rows.mapInArrow(judge, f"id {kind}, host string, path string, rule string, globs array<string>, verdict string").withColumnRenamed("id", id_col)
 
 

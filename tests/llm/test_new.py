@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import filter_audit, packing, runs, token_counts
+from quarry.llm import common, filter_audit, mix, packing, runs, token_counts, url_filter
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -285,3 +285,25 @@ def test_special_token_is_read_as_the_library_does(tokenizer):
         raw = f.read()
     for text in ("a<|endoftext|>b", "<|endoftext|><|endoftext|>", " x  <|endoftext|>  \n\n y", "ab  \t\n" * 50 + " " * 2500 + "<|endoftext|>" + "\n" * 1500 + "z", "<|endoftext|"):
         assert packing.encoded(text, raw).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+
+
+def test_targets_of_many_sources(spark, monkeypatch):
+    """Turns in several ranges and levels that need rounds, against filling up one source after another."""
+    monkeypatch.setattr(common, "ROWS_A_PARTITION", 50)
+    rng = np.random.default_rng(3)
+    sizes = {f"s{i:03}": int(v) for i, v in enumerate(np.exp(rng.uniform(0, 16, 300)))} | {None: 7, "": 0}
+    units = spark.createDataFrame([(k, v, 1) for k, v in sizes.items()], "source string, size long, rows long")
+    for share, most in ((1.5, 2.0), (0.3, 2.0), (3.0, 2.0), (2.0, 2.0)):
+        got = {r.source: (r.source_size, r.target) for r in mix.source_targets(units, share=share, most=most).collect()}
+        order = sorted(sizes, key=lambda k: (k is None, k or ""))
+        weight = {k: mix.WEIGHTS[i % 3] for i, k in enumerate(order)}
+        left, weights, want = share * sum(sizes.values()), sum(weight.values()), {}
+        for k in sorted(sizes, key=lambda k: most * sizes[k] / weight[k]):
+            want[k] = min(most * sizes[k], left * weight[k] / weights)
+            left, weights = left - want[k], weights - weight[k]
+        assert {k: v for k, (v, _) in got.items()} == sizes
+        assert all(got[k][1] == pytest.approx(want[k], rel=1e-9) for k in sizes)
+    named = spark.createDataFrame([(1, "a b", "x")], "`id.of` long, `te.xt` string, `so.urce` string")
+    assert mix.mixed_rows(named, "id.of", "te.xt", "so.urce").columns == named.columns
+    pages = spark.createDataFrame([(1, "http://example.com/en/x")], "`id.of` long, `u.rl` string")
+    assert url_filter.judge_urls(pages, id_col="id.of", url_col="u.rl").count() == 1
