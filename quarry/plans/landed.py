@@ -121,6 +121,18 @@ def listing_grok_imagine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listings.grok_imagine(landed(spark, sf_dir, "grok_imagine", item))
 
 
+@query(f"""SELECT 'https://g/' || {K} AS url, CAST({K} AS VARCHAR) AS post_id, left(p_name || ' "q" ' || chr(10) || 'é ' || chr(92), 200) AS post_title,
+    'grok_imagine:api:' || CASE WHEN {K} % 5 = 0 THEN '7' ELSE 'm' END || CASE WHEN {K} % 4 = 0 THEN '' ELSE ':nsfw' END AS flair, 'grok_imagine' AS source FROM part WHERE {K} % 6 IN (0, 1, 4) AND {K} % 7 <> 0""")
+def listing_strange_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with entries that aren't objects, fields of other types and escaped text; pages without a list, cut off, or no JSON."""
+    known = f"""to_json(named_struct('id', {K}, 'mediaType', 'MEDIA_POST_TYPE_IMAGE', 'prompt', concat(p_name, ' "q" ', char(10), 'é ', char(92))))"""
+    url = f"""if({K} % 7 = 0, '["x"]', concat('"https://g/', {K}, '"'))"""
+    item = f"""concat('{{"mediaUrl": ', {url}, ', "modelName": ', if({K} % 5 = 0, '7', '"m"'), ', "rRated": ', if({K} % 4 = 0, '"yes"', 'true'), ', ', substr({known}, 2))"""
+    body = f"""CASE {K} % 6 WHEN 0 THEN concat('{{"items": [7, "text", null, ', {item}, ', [], true, {{}}]}}') WHEN 1 THEN concat('{{"items": [', {item}, ']}}') WHEN 2 THEN '{{"items": "none"}}'
+        WHEN 3 THEN concat('{{"items": [', {item}) WHEN 4 THEN concat('{{"other": [', {item}, '], "items": [', {item}, ']}}') ELSE 'error' END"""
+    return listings.grok_imagine(listings.parse_pages(table(spark, sf_dir, "part").select(F.expr(body).alias("body")), "body", "grok_imagine", "items"))
+
+
 @query(f"""SELECT 'https://x/' || {K} AS url, CASE WHEN {K} % 3 = 0 THEN 'j' || {K} ELSE 'i' || {K} END AS post_id, left(p_name, 200) AS post_title, 'recraft:' || CASE WHEN {K} % 4 = 0 THEN 'unknown' ELSE 'recraftv4' END || ':' || CASE WHEN {K} % 5 = 0 THEN 'unknown' ELSE 'any' END AS flair, 'recraft' AS source
     FROM part WHERE {K} % 3 <> 0 OR {K} % 2 <> 0""")
 def listing_recraft(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ CAPTIONS = "map<string, struct<caption: string, should_reject: boolean, reject_s
 CLASSIFICATIONS = "map<string, string>"
 #: One item of each source's listing pages, as ``from_json`` reads it.
 LISTINGS = {
-    "civitai": "id bigint, url string, name string, type string, mimeType string, postTitle string",
+    "civitai": "id string, url string, name string, type string, mimeType string, postTitle string",
     "higgsfield": "id string, results struct<raw: struct<url: string, type: string>>, result struct<url: string, type: string>, params struct<prompt: string>",
     "reddit": "data struct<id: string, title: string, subreddit: string, link_flair_text: string, url: string, is_self: boolean, is_video: boolean, is_gallery: boolean, created_utc: double, media_metadata: map<string, struct<status: string, e: string, s: struct<u: string>>>, preview: struct<images: array<struct<source: struct<url: string>>>>>",
     "midjourney": "id string, content string, author struct<id: string>, attachments array<struct<url: string, filename: string, content_type: string>>, components array<struct<components: array<struct<custom_id: string>>>>",
@@ -20,7 +20,7 @@ LISTINGS = {
     "yodayo": "uuid string, photo_media array<struct<uuid: string, text_to_image: struct<model: string, prompt: string, extra_networks: array<string>>>>",
     "openart": "id string, prompt string, ai_model string, image struct<raw: string, raw_width: int, raw_height: int>, image_url string, image_width int, image_height int",
     "aigcarena": "EvalResourceId string, ModelName string, ModelVersionId string, PromptEn string, ModelImages array<struct<ImageUri: string, CompressionImageUri: string>>",
-    "freepik": "id bigint, title string, download_url string, image struct<type: string, orientation: string, source: struct<url: string, size: string>>, author struct<name: string>, meta struct<published_at: string>",
+    "freepik": "id string, title string, download_url string, image struct<type: string, orientation: string, source: struct<url: string, size: string>>, author struct<name: string>, meta struct<published_at: string>",
     "grok_imagine": "id string, mediaType string, mediaUrl string, prompt string, modelName string, rRated boolean",
     "recraft": "image_id string, id string, prompt string, image_url string, model string, image_type string",
     "instagram": "url string, srcset string, w int, h int, username string",

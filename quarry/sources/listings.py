@@ -25,20 +25,25 @@ GROK_IMAGE = "MEDIA_POST_TYPE_IMAGE"
 
 
 def read_pages(spark: SparkSession, path: str, source: str, items: str | None = None) -> DataFrame:
-    """Items of JSON pages, one page a line or file; ``items`` is the field that lists them (null: a page is an item)."""
-    schema = schemas.LISTINGS[source]
-    if items is None:
-        return spark.read.schema(schema).json(path)
-    return spark.read.schema(f"{items} array<struct<{_as_struct(schema)}>>").json(path).select(F.inline(items))
+    """Items of JSON pages, one page a line; ``items`` is the field that lists them (null: a page is an item)."""
+    return parse_pages(spark.read.text(path), "value", source, items)
 
 
 def parse_pages(pages: DataFrame, body: str, source: str, items: str | None = None) -> DataFrame:
-    """Items of JSON pages that were landed as a column of text."""
+    """Items of JSON pages that were landed as a column of text.
+
+    Entries that aren't objects go and leave the others of their page; a field of another type than the source's counts as absent, but
+    for a number or a truth value where a text belongs, which is taken as it is written.  A page that isn't an object, is cut off or has
+    no list gives no items.
+    """
     schema = schemas.LISTINGS[source]
     if items is None:
         return pages.select(F.from_json(body, schema).alias("i")).select("i.*")
-    found = pages.select(F.from_json(body, f"{items} array<struct<{_as_struct(schema)}>>").alias("page"))
-    return found.select(F.explode(f"page.{items}").alias("i")).select("i.*")
+    listed = F.from_json(body, f"{items} array<struct<{_as_struct(schema)}>>")[items]
+    # one entry of another type makes the whole list null: then each entry is read by itself
+    apart = F.transform(F.from_json(body, f"{items} array<string>")[items], lambda entry: F.from_json(F.when(entry.startswith("{"), entry), schema))
+    found = pages.select(listed.alias("listed"), body).select(F.explode(F.coalesce("listed", apart)).alias("i"))
+    return found.filter("i IS NOT NULL").select("i.*")
 
 
 def _as_struct(schema: str) -> str:
@@ -52,7 +57,8 @@ def _as_struct(schema: str) -> str:
 def _item(df: DataFrame, url: Column, post_id: Column, title: Column, flair: Column, source: Column | str, **more: Column) -> DataFrame:
     src = F.lit(source) if isinstance(source, str) else source
     columns = {"url": url, "post_id": filled(post_id.cast("string")), "post_title": F.left(filled(title), F.lit(200)), "flair": flair, "source": src}
-    return df.select(*(c.alias(k) for k, c in (columns | more).items())).filter(filled(F.col("url")) != "")
+    # a list or an object where a URL belongs is text by now
+    return df.select(*(c.alias(k) for k, c in (columns | more).items())).filter(~filled(F.col("url")).rlike(r"^$|^[\[{]"))
 
 
 def civitai(items: DataFrame, tag: str, onsite: bool = False) -> DataFrame:

@@ -266,6 +266,21 @@ def test_listings(spark, tmp_path, source):
     assert listings.CONNECTORS[source](none, **options).count() == 0
 
 
+@pytest.mark.parametrize("source", sorted(set(LISTED) - {"twitter"}))
+def test_odd_pages(spark, tmp_path, source):
+    item, want, options = LISTED[source]
+    pages = [{"items": [odd, item]} for odd in (None, 7, "text", [], True, {})] + [{"items": odd} for odd in (None, 7, "text", {}, [])] + [{}, 7, None]
+    (tmp_path / "page.json").write_text("\n".join([*map(json.dumps, pages), '{"items": [', "error", ""]))
+    texts = spark.read.text(str(tmp_path))
+    for found in (listings.read_pages(spark, str(tmp_path), source, "items"), listings.parse_pages(texts, "value", source, "items")):
+        rows = listings.CONNECTORS[source](found, **options).collect()
+        assert len(rows) == 6 and all({k: r[k] for k in want} == want for r in rows)
+    if source == "grok_imagine":  # a list where a URL belongs, and numbers for texts
+        lines = [json.dumps(item | {"mediaUrl": ["u"]}), json.dumps(item | {"id": 12, "modelName": 7, "rRated": "yes"})]
+        rows = listings.grok_imagine(listings.parse_pages(spark.createDataFrame([(x,) for x in lines], "b string"), "b", source)).collect()
+        assert [(r.post_id, r.flair) for r in rows] == [("12", "grok_imagine:api:7")]
+
+
 def test_simple_listing_and_tiers(spark, tmp_path):
     (tmp_path / "page.json").write_text(json.dumps(LISTED["civitai"][0]))
     row = listings.civitai_simple(listings.read_pages(spark, str(tmp_path), "civitai"), 7).first()
