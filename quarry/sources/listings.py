@@ -54,11 +54,15 @@ def _as_struct(schema: str) -> str:
     return " ".join(out)
 
 
+def _plain(value: Column) -> Column:
+    """Text; null where a list or an object, which is text by now, stood in its place."""
+    return F.when(~value.rlike(r"^[\[{]"), value)
+
+
 def _item(df: DataFrame, url: Column, post_id: Column, title: Column, flair: Column, source: Column | str, **more: Column) -> DataFrame:
     src = F.lit(source) if isinstance(source, str) else source
     columns = {"url": url, "post_id": filled(post_id.cast("string")), "post_title": F.left(filled(title), F.lit(200)), "flair": flair, "source": src}
-    # a list or an object where a URL belongs is text by now
-    return df.select(*(c.alias(k) for k, c in (columns | more).items())).filter(~filled(F.col("url")).rlike(r"^$|^[\[{]"))
+    return df.select(*(c.alias(k) for k, c in (columns | more).items())).filter(filled(_plain(F.col("url"))) != "")
 
 
 def civitai(items: DataFrame, tag: str, onsite: bool = False) -> DataFrame:
@@ -66,7 +70,7 @@ def civitai(items: DataFrame, tag: str, onsite: bool = False) -> DataFrame:
     still = items.filter((filled(F.col("type")) != "video") & ~filled(F.col("mimeType")).startswith("video/"))
     name = F.coalesce("name", F.concat("url", F.lit(".jpg")))
     made_here = F.lit(onsite) | filled(F.col("name")).startswith("generator_import_")
-    url = F.concat(F.lit(f"{CIVITAI_CDN}/"), F.col("url"), F.lit("/original=true/"), name)
+    url = F.concat(F.lit(f"{CIVITAI_CDN}/"), _plain(F.col("url")), F.lit("/original=true/"), name)
     return _item(still, url, F.col("id"), F.col("postTitle"), F.when(made_here, f"onsite:{tag}").otherwise(tag), "civitai")
 
 
@@ -125,7 +129,7 @@ def yodayo(posts: DataFrame, model: str, reject_lora: bool = True) -> DataFrame:
     each = posts.select(F.col("uuid").alias("post"), F.explode("photo_media").alias("p"))
     if reject_lora:
         each = each.filter(F.coalesce(F.size("p.text_to_image.extra_networks"), F.lit(0)) <= 0)
-    url = F.when(filled(F.col("p.uuid")) != "", F.concat(F.lit(f"{YODAYO_CDN}/"), F.col("p.uuid"), F.lit(".jpg")))
+    url = F.when(filled(F.col("p.uuid")) != "", F.concat(F.lit(f"{YODAYO_CDN}/"), _plain(F.col("p.uuid")), F.lit(".jpg")))
     return _item(each, url, F.col("post"), F.col("p.text_to_image.prompt"), F.lit(f"yodayo:{model}"), f"yodayo_{model}")
 
 

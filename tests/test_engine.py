@@ -279,6 +279,9 @@ def test_odd_pages(spark, tmp_path, source):
         lines = [json.dumps(item | {"mediaUrl": ["u"]}), json.dumps(item | {"id": 12, "modelName": 7, "rRated": "yes"})]
         rows = listings.grok_imagine(listings.parse_pages(spark.createDataFrame([(x,) for x in lines], "b string"), "b", source)).collect()
         assert [(r.post_id, r.flair) for r in rows] == [("12", "grok_imagine:api:7")]
+    if source == "civitai":
+        line = json.dumps(item | {"url": {"u": "v"}})
+        assert listings.civitai(listings.parse_pages(spark.createDataFrame([(line,)], "b string"), "b", source), "t").count() == 0
 
 
 def test_simple_listing_and_tiers(spark, tmp_path):
