@@ -270,16 +270,21 @@ def to_caption(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""SELECT {K} || '.png' AS filename, {K} % 6 <> 0 AS opened, CAST(CASE WHEN {K} % 6 = 0 THEN 0 ELSE 100 + {K} END AS INTEGER) AS width, CAST(CASE WHEN {K} % 6 = 0 THEN 0 ELSE 200 + p_size END AS INTEGER) AS height,
     CASE WHEN {K} % 6 = 0 THEN 'UNKNOWN' WHEN {K} % 2 = 0 THEN 'PNG' ELSE 'JPEG' END AS format, CASE WHEN {K} % 6 <> 0 AND {K} % 2 = 1 THEN CAST(p_size AS DOUBLE) END AS avg_quantization FROM part""")
 def binary_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headers of PNG and JPEG files, built byte by byte; every sixth is cut short."""
+    """Headers of PNG and JPEG files, built byte by byte; every sixth is cut short.  A JPEG is at most 65,535 wide: wider images are in
+    strips side by side, each a file, whose widths are added up."""
     def number(c: str, digits: int) -> str:
         return f"lpad(hex({c}), {digits}, '0')"
 
+    wide = f"CASE WHEN {K} % 6 <> 0 AND {K} % 2 = 1 THEN {imagebytes.WIDEST_JPEG} END"
+    images = table(spark, sf_dir, "part").select(K, "p_size", F.monotonically_increasing_id().alias("image")).repartition("image")
+    strips = images.select("*", F.expr(f"explode(sequence(0L, coalesce((99L + {K}) div {wide}, 0L)))").alias("strip"))
     png = f"concat('89504E470D0A1A0A0000000D49484452', {number(f'100 + {K}', 8)}, {number('200 + p_size', 8)}, '0802000000', '00000000', '0000000049454E44AE426082')"
     table_of = "concat('FFDB0043', '00', repeat(lpad(hex(p_size), 2, '0'), 64))"
-    jpeg = f"concat('FFD8', {table_of}, 'FFC0000B08', {number('200 + p_size', 4)}, {number(f'100 + {K}', 4)}, '01011100', 'FFD9')"
+    jpeg = f"concat('FFD8', {table_of}, 'FFC0000B08', {number('200 + p_size', 4)}, {number(f'least(100 + {K} - strip * {imagebytes.WIDEST_JPEG}, {imagebytes.WIDEST_JPEG})', 4)}, '01011100', 'FFD9')"
     content = F.expr(f"unhex(CASE WHEN {K} % 6 = 0 THEN '89504E470D0A1A0A00' WHEN {K} % 2 = 0 THEN {png} ELSE {jpeg} END)")
-    found = imagebytes.image_features(table(spark, sf_dir, "part").select(F.concat(F.lit("dir/"), K, F.lit(".png")).alias("path"), content.alias("content")).withColumn("length", F.length("content").cast("bigint")))
-    return found.select("filename", "opened", "width", "height", "format", "avg_quantization")
+    read = imagebytes.image_features(strips.select("image", F.concat(F.lit("dir/"), K, F.lit(".png")).alias("path"), content.alias("content")).withColumn("length", F.length("content").cast("bigint")), "image bigint")
+    whole = read.groupBy("image").agg(F.max("filename").alias("filename"), F.bool_and("opened").alias("opened"), F.sum("width").cast("int").alias("width"), F.max("height").alias("height"), F.max("format").alias("format"), F.max("avg_quantization").alias("avg_quantization"))
+    return whole.drop("image")
 
 
 @query(f"""SELECT {K}, CASE {K} % 6 WHEN 0 THEN 'image/jpeg' WHEN 1 THEN 'image/png' WHEN 2 THEN 'image/webp' WHEN 3 THEN 'image/gif' ELSE 'image/jpeg' END AS mime,
