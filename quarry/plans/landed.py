@@ -359,7 +359,7 @@ def stream_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     middle = pages.agg(F.max("page")).first()[0] // 2
     for part in (pages.filter(F.col("page") <= middle), pages.filter(F.col("page") > middle)):
         part.write.mode("append").parquet(f"{base}/in")
-        stream = incremental.arriving(spark, f"{base}/in", "listing long, page long, found boolean")
+        stream = incremental.arriving(spark, f"{base}/in", "listing long, page long, found boolean", None)  # a half may be any number of files, in no order
         incremental.append_to(incremental.barren_streaks(stream, "listing", "page", "found", 3), f"{base}/out", f"{base}/state").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("listing", "page", F.col("streak").cast("bigint").alias("streak"), "stop")
 

@@ -8,6 +8,7 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,17 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quarry.operators import items
+from quarry.session import importable
 from quarry.sources.versions import Table
 
+#: Pages that Spark is handed at a time.
+PIECE = 10_000
 
-def arriving(spark: SparkSession, path: str, schema: str, files_per_batch: int = 100, format: str = "parquet") -> DataFrame:
-    """Rows of files as they arrive, at most so many files a batch."""
-    return spark.readStream.schema(schema).format(format).option("maxFilesPerTrigger", files_per_batch).load(path)
+
+def arriving(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = 100, format: str = "parquet") -> DataFrame:
+    """Rows of files as they arrive, at most so many files a batch; None: all that are there."""
+    reader = spark.readStream.schema(schema).format(format)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).load(path)
 
 
 def new_only(stream: DataFrame, key: str, time: str | None = None, delay: str | None = None) -> DataFrame:
@@ -87,21 +93,41 @@ def for_each_batch(stream: DataFrame, work: Callable[[DataFrame, int], Any], che
     return stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _streaks(yielded: np.ndarray, before: int, gap: np.ndarray | None = None) -> np.ndarray:
+    """How many pages in a row have yielded nothing, at each page; ``before`` it starts with so many.  Where a page is missing (``gap``) it starts anew."""
+    at = np.arange(len(yielded))
+    last = np.full(len(at), -1 - before)
+    if gap is not None:
+        last[gap] = at[gap] - 1
+    last[yielded] = at[yielded]
+    return at - np.maximum.accumulate(last)
+
+
+def _until(streak: np.ndarray, most: int) -> int:
+    """How many pages there are up to the first stop, itself included."""
+    stops = streak >= most
+    return int(stops.argmax()) + 1 if stops.any() else len(stops)
+
+
 def barren_streaks(stream: DataFrame, by: str, order: str, yielded: str, most: int) -> DataFrame:
-    """``by, order, streak, stop`` of each page, with each listing's streak kept between batches.  Pages of a listing arrive in order;
-    after a stop they are left out."""
+    """``by, order, streak, stop`` of each page, with each listing's streak kept between batches.  Pages of a listing arrive in order from
+    batch to batch, and in any order within one: a task sorts a listing's pages of a batch, some 60 bytes each.  After a stop they are
+    left out."""
+    importable(stream.sparkSession)
 
     def follow(key: tuple[Any, ...], pages: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         streak = state.get[0] if state.exists else 0
-        for batch in pages:
-            rows = []
-            for o, y in batch.sort_values(order)[[order, yielded]].itertuples(index=False):
-                if streak >= most:
-                    break
-                streak = 0 if y else streak + 1
-                rows.append((key[0], o, streak, streak >= most))
-            yield pd.DataFrame(rows, columns=[by, order, "streak", "stop"])
-        state.update((streak,))
+        held = [batch[[order, yielded]] for batch in pages if streak < most]  # Spark hands over a listing in pieces, of which none is in order
+        if not held:
+            return
+        whole = pd.concat(held, ignore_index=True).sort_values(order, kind="stable")
+        streaks = _streaks(whole[yielded].to_numpy(bool), streak)
+        n = _until(streaks, most)
+        if n:
+            state.update((int(streaks[n - 1]),))
+        for low in range(0, n, PIECE):
+            own = slice(low, min(n, low + PIECE))
+            yield pd.DataFrame({by: key[0], order: whole[order].iloc[own], "streak": streaks[own], "stop": streaks[own] >= most})
 
     fields = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
     schema = f"{by} {fields[by]}, {order} {fields[order]}, streak int, stop boolean"

@@ -1,7 +1,7 @@
 """Keys and groups larger than those of the smallest driver tables."""
 
 import duckdb
-import pytest
+from pyspark.sql import functions as F
 
 from quarry.plans import landed  # noqa: F401  (adds its queries)
 from quarry.plans import queries as plans
@@ -21,3 +21,29 @@ def test_images_wider_than_a_jpeg(spark, tmp_path):
     keys = [0, 1, 65_434, 65_435, 65_436, 65_437, 65_437, 130_969, 130_971, 130_973, 1_199_999, 1_200_001, 1_200_002]
     spark.createDataFrame([(k, i % 50 + 1) for i, k in enumerate(keys)], "p_partkey bigint, p_size int").write.parquet(f"{tmp_path}/part.parquet")
     same_as_sql(spark, "binary_features", part=str(tmp_path))
+
+
+def pages_of_orders(spark, path, n):
+    """``lineitem`` of ``n`` orders of one listing and a few of another, in no order."""
+    lines = spark.range(n).select((20 * F.floor(F.col("id") / 7) % 1000).alias("l_suppkey"), (3 * F.col("id") + (F.col("id") > n - 4).cast("long")).alias("l_orderkey"))
+    few = spark.range(40).select(F.lit(1).cast("bigint").alias("l_suppkey"), (F.col("id") * F.col("id")).alias("l_orderkey"))
+    lines.unionAll(few).orderBy(F.xxhash64("l_orderkey")).write.parquet(f"{path}/lineitem.parquet")
+
+
+def test_streaks_of_more_pages_than_a_piece(spark, tmp_path):
+    """A listing of 30,000 pages stops at the end of all; Spark hands it over in pieces of 10,000 in no order."""
+    pages_of_orders(spark, tmp_path, 30_000)
+    same_as_sql(spark, "stream_streaks", lineitem=str(tmp_path))
+
+
+def test_streaks_of_a_run_of_many_files(spark, tmp_path):
+    """More files than a batch took, in no order."""
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    pages_of_orders(spark, tmp_path, 900)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 120)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        same_as_sql(spark, "stream_streaks", lineitem=str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
