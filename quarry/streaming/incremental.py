@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import threading
 import time
 from collections.abc import Callable, Iterator, Sequence
@@ -10,6 +9,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -134,34 +134,63 @@ def barren_streaks(stream: DataFrame, by: str, order: str, yielded: str, most: i
     return stream.select(by, order, F.col(yielded)).groupBy(by).applyInPandasWithState(follow, schema, "streak int", "append", GroupStateTimeout.NoTimeout)
 
 
+def _packed(pages: pd.DataFrame) -> bytes:
+    if not len(pages):
+        return b""
+    rows, sink = pa.Table.from_pandas(pages, preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
 def late_streaks(stream: DataFrame, by: str, number: str, page: str, yielded: str, most: int, wait: str | None = None) -> DataFrame:
     """``by, page, streak, stop`` as ``barren_streaks``, for pages that arrive in any order: ``number`` counts a listing's pages from 0, and a page
     is held until all before it have come.  With ``wait`` (in a query that goes on), what is held is let go in order when that time
-    has passed without a new page.  After a stop nothing is held, and a page that comes twice counts once."""
+    has passed without a new page.  After a stop nothing is held, and a page that comes twice counts once.
+
+    Where ``most`` pages in a row have come that yielded nothing, the listing stops there or before, whatever comes: no page behind them
+    is held.  What is held is packed; it grows only with pages that may still count."""
+    importable(stream.sparkSession)
+    columns = [number, page, yielded]
 
     def follow(key: tuple[Any, ...], pages: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        due, streak, held = state.get if state.exists else (0, 0, "{}")
-        waiting = {int(k): v for k, v in json.loads(held).items()}
+        due, streak, raw = state.get if state.exists else (0, 0, b"")
+
+        def may_count(parts: list[pd.DataFrame]) -> pd.DataFrame:
+            whole = pd.concat(parts, ignore_index=True).drop_duplicates(number)
+            whole = whole[whole[number] >= due].sort_values(number)
+            n = whole[number].to_numpy(np.int64)
+            return whole[: _until(_streaks(whole[yielded].to_numpy(bool), streak, np.diff(n, prepend=due - 1) != 1), most)]
+
+        held = [pa.ipc.open_stream(raw).read_pandas()] if raw else []
+        limit = 2 * sum(map(len, held)) + PIECE
         for batch in pages:
-            for n, p, y in batch[[number, page, yielded]].itertuples(index=False):
-                if n >= due and streak < most:
-                    waiting.setdefault(int(n), (p if isinstance(p, str) else int(p), bool(y)))
-        rows = []
-        while waiting and streak < most and (due in waiting or state.hasTimedOut):
-            due = due if due in waiting else min(waiting)
-            p, y = waiting.pop(due)
-            streak = 0 if y else streak + 1
-            rows.append((key[0], p, streak, streak >= most))
-            due += 1
-        state.update((due, streak, json.dumps({} if streak >= most else waiting)))
-        if wait and waiting:
+            if streak < most and len(batch):
+                held.append(batch[columns])
+            if sum(map(len, held)) > limit:
+                held = [may_count(held)]
+                limit = 2 * len(held[0]) + PIECE
+        if not held:
+            return
+        waiting = may_count(held)
+        n = waiting[number].to_numpy(np.int64)
+        ready = len(n) if state.hasTimedOut else int(np.logical_and.accumulate(n == due + np.arange(len(n))).sum())
+        streaks = _streaks(waiting[yielded].to_numpy(bool)[:ready], streak)
+        ready = _until(streaks, most)
+        if ready:
+            due, streak = int(n[ready - 1]) + 1, int(streaks[ready - 1])
+        rest = waiting[ready:] if streak < most else waiting[:0]
+        state.update((due, streak, _packed(rest)))
+        if wait and len(rest):
             state.setTimeoutDuration(wait)
-        yield pd.DataFrame(rows, columns=[by, page, "streak", "stop"])
+        for low in range(0, ready, PIECE):
+            own = slice(low, min(ready, low + PIECE))
+            yield pd.DataFrame({by: key[0], page: waiting[page].iloc[own], "streak": streaks[own], "stop": streaks[own] >= most})
 
     fields = {f.name: f.dataType.simpleString() for f in stream.schema.fields}
     schema = f"{by} {fields[by]}, {page} {fields[page]}, streak int, stop boolean"
     timeout = GroupStateTimeout.ProcessingTimeTimeout if wait else GroupStateTimeout.NoTimeout
-    return stream.select(by, number, page, yielded).groupBy(by).applyInPandasWithState(follow, schema, "due long, streak int, held string", "append", timeout)
+    return stream.select(by, number, page, yielded).groupBy(by).applyInPandasWithState(follow, schema, "due long, streak int, held binary", "append", timeout)
 
 
 def unseen_pages(pages: DataFrame, items: DataFrame, seen: DataFrame, page: Sequence[str], key: str) -> DataFrame:

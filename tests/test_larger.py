@@ -1,10 +1,13 @@
 """Keys and groups larger than those of the smallest driver tables."""
 
 import duckdb
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from quarry.plans import landed  # noqa: F401  (adds its queries)
 from quarry.plans import queries as plans
+from quarry.streaming import incremental
 from test_oracle import rows
 
 
@@ -47,3 +50,60 @@ def test_streaks_of_a_run_of_many_files(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before[0])
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before[1])
+
+
+class State:
+    """What a listing's state is, as Spark would keep it."""
+
+    hasTimedOut = False
+
+    def __init__(self):
+        self.get, self.exists = None, False
+
+    def update(self, value):
+        self.get, self.exists = value, True
+
+
+def follow_of(monkeypatch, spark, most):
+    """``follow`` of ``late_streaks`` with pages ``n`` that are their own numbers."""
+    kept = []
+    stream = spark.createDataFrame([], "q string, n long, page long, got boolean")
+    monkeypatch.setattr(type(stream.groupBy("q")), "applyInPandasWithState", lambda self, f, *a: kept.append(f))
+    incremental.late_streaks(stream, "q", "n", "page", "got", most)
+    return kept[0]
+
+
+def test_late_pages_behind_a_sure_stop_are_not_held(spark, monkeypatch):
+    """300,000 pages of which the first never comes before the others: the state stays small, and what comes out is the same."""
+    follow, state, rng = follow_of(monkeypatch, spark, 3), State(), np.random.default_rng(2)
+    got = rng.random(300_000) < 0.4
+    got[:8] = True
+    dealt = np.append(rng.permutation(np.arange(1, len(got))), 0)
+    out, most = [], 0
+    for numbers in np.array_split(dealt, 3):
+        frames = (pd.DataFrame({"n": x, "page": 10 * x, "got": got[x]}) for x in np.array_split(numbers, 10))
+        out += [(r.page, r.streak, r.stop) for x in follow(("a",), frames, state) for r in x.itertuples()]
+        most = max(most, len(str(state.get)))
+    want, streak = [], 0
+    for k, y in enumerate(got):
+        streak = 0 if y else streak + 1
+        want.append((10 * k, streak, streak >= 3))
+        if streak >= 3:
+            break
+    assert out == want
+    assert most < 20_000
+
+
+def test_late_pages_that_may_all_count_are_held(spark, monkeypatch):
+    """No page is dropped where no stop is sure; pages that come twice count once."""
+    follow, state, rng = follow_of(monkeypatch, spark, 2), State(), np.random.default_rng(3)
+    dealt = np.append(rng.permutation(np.arange(1, 50_000)), [5, 7, 0, 7])
+    out = []
+    for x in np.array_split(dealt, 4):
+        out += [(r.page, r.streak) for y in follow(("a",), iter([pd.DataFrame({"n": x, "page": x, "got": x % 2 == 0})]), state) for r in y.itertuples()]
+    assert out == [(k, k % 2) for k in range(50_000)]
+
+
+def test_late_pages_of_many_orders(spark, tmp_path):
+    pages_of_orders(spark, tmp_path, 9_000)
+    same_as_sql(spark, "stream_late_pages", lineitem=str(tmp_path))
