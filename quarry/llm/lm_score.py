@@ -11,8 +11,8 @@ decisions:
    and 5 bytes of the word, and all of it so far), as log-odds; its gate is whether the byte is the word's first.
 
 A gate picks a set of weights; the weighted sum of the log-odds gives a probability.  A last stage moves it by the mean error
-made so far at such confidence.  The first weights are fitted on up to ``FIT_WORDS`` training words, picked by hash, with
-one occurrence left out; after every stretch of words (the first has ``FIRST_STRETCH``, each next one twice as many, to
+made so far at such confidence.  The first weights are fitted on all training words, each with one occurrence left out, in
+a few passes of which each adds up the parts' slopes and curvatures; after every stretch of words (the first has ``FIRST_STRETCH``, each next one twice as many, to
 ``LONGEST_STRETCH``) weights and errors are refined on what was just coded, within the document alone.  So the score of a
 document depends on it and on the training rows only.
 
@@ -34,11 +34,12 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Callable, Iterator
+from decimal import Decimal
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,8 +58,9 @@ END, GAP = 10, 32
 PRIOR, ODDS_UNIT = 0.2, 1 / 1024
 #: Sets of weights: for the first byte of a word, and for the others; and by how the last expectation went (none, not met, met).
 GATES, TRUST_GATES = 2, 3
-#: Training words that the first weights are fitted on, and the weights without any.
-FIT_WORDS, FIRST_WEIGHT = 4096, 0.4
+#: The first weights without any training word; the steps that fit them to all of these at most, and the move below which they end (the
+#: next one's is about its square); what sums of a part are rounded to a fraction of.
+FIRST_WEIGHT, FIT_STEPS, FIT_MOVE, SUM_UNIT = 0.4, 20, 1e-3, 1 << 16
 #: Steps of refining: their rate, and what is added to the curvature for spelling and for expectations.
 RATE, CURVE, DAMPING, TRUST_DAMPING = 0.2, 8.0, 100.0, 4.0
 #: Levels of confidence of the last stage, what is added to their counts, and how near to certain it gets.
@@ -421,23 +423,52 @@ def _gathered(counts: DataFrame, parts: int) -> np.ndarray:
     return table.reshape(PREDICTORS, SLOTS, 2)
 
 
-def _first_weights(pairs: np.ndarray, words: list[str], n: list[int]) -> np.ndarray:
-    """Weights by predictor and gate that fit the words best, each with one of its occurrences left out of the tables."""
+SUMS = [(i, j) for i in range(PREDICTORS) for j in range(i + 1)]
+
+
+def _slopes(counts: DataFrame, tables: Broadcast, weights: np.ndarray) -> DataFrame:
+    """For each part and gate: ``gate``; how many decisions its training words have (``total``), the slope of their log-probability by each
+    predictor's weight (``s0``...) and its curvature (``c0``..., as ``SUMS``), each word with one of its occurrences left out of the tables.
+    They are whole multiples of ``1 / SUM_UNIT``, so that they add up to the same in any order."""
+    names = ["total", *(f"s{i}" for i in range(PREDICTORS)), *(f"c{i}" for i in range(len(SUMS)))]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = tables.value
+        for batch in batches:
+            for row in range(len(batch)):
+                words, n = (batch.column(c).slice(row, 1).flatten() for c in (0, 1))
+                sums, n = np.zeros((GATES, len(names))), n.to_numpy()
+                for i, j, data, at in C.chunks(words, WORDS_AT_ONCE):
+                    d = decisions(data, at[:-1], at[1:])
+                    inside = slice(0, d.first[-2])
+                    turn, times = d.turn[inside], np.repeat(n[i:j].astype(float), np.diff(d.first)[:-1])
+                    x = np.stack([np.log(np.maximum(pairs[o, slot[inside], turn] - 1, 0) + PRIOR) - np.log(pairs[o, slot[inside], 1 - turn] + PRIOR) for o, slot in enumerate(d.slots)])
+                    for g in range(GATES):
+                        own = d.gate[inside] == g
+                        xs, t = x[:, own], times[own]
+                        missed = 1 / (1 + np.exp(np.clip(weights[:, g] @ xs, -30, 30)))
+                        curve = (xs * (t * missed * (1 - missed))) @ xs.T
+                        sums[g] += [t.sum(), *(xs @ (t * missed)), *(curve[k] for k in SUMS)]
+                exact = [pa.array([Decimal(round(v * SUM_UNIT)) for v in column], pa.decimal128(38)) for column in sums.T.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(range(GATES), pa.int32()), *exact], names=["gate", *names])
+
+    found = counts.select("spelt", "n").mapInArrow(C.released(add), ", ".join(["gate int", *(f"{x} decimal(38,0)" for x in names)]))
+    return found.groupBy("gate").agg(*((F.sum(x).cast("double") / SUM_UNIT).alias(x) for x in names))
+
+
+def _first_weights(counts: DataFrame, tables: Broadcast) -> np.ndarray:
+    """Weights by predictor and gate that fit all training words best.  ``counts``: spelt, n, a row for each part."""
     weights = np.full((PREDICTORS, GATES), FIRST_WEIGHT)
-    data, at = C.text_buffers(pa.array(words, pa.string()))
-    if not words:
-        return weights
-    d = decisions(data, at[:-1], at[1:])
-    inside = slice(0, d.first[-2])
-    turn, times = d.turn[inside], np.repeat(np.asarray(n, float), np.diff(d.first)[:-1])
-    x = np.stack([np.log(np.maximum(pairs[o, slot[inside], turn] - 1, 0) + PRIOR) - np.log(pairs[o, slot[inside], 1 - turn] + PRIOR) for o, slot in enumerate(d.slots)])
-    for g in range(GATES):
-        own = d.gate[inside] == g
-        xs, t = x[:, own], times[own] / max(1.0, times[own].sum())
-        for _ in range(20):  # Newton's steps, held near where they begin
-            missed = 1 / (1 + np.exp(np.clip(weights[:, g] @ xs, -30, 30)))
-            curve = (xs * (t * missed * (1 - missed))) @ xs.T + 1e-3 * np.eye(PREDICTORS)
-            weights[:, g] += np.linalg.solve(curve, xs @ (t * missed) - 1e-3 * (weights[:, g] - FIRST_WEIGHT))
+    for _ in range(FIT_STEPS):  # Newton's steps, held near where they begin
+        before = weights.copy()
+        for r in _slopes(counts, tables, before).collect():  # a row for each gate
+            total, slope = max(1.0, r.total), np.array(r[2 : 2 + PREDICTORS])
+            curve = np.zeros((PREDICTORS, PREDICTORS))
+            for (i, j), c in zip(SUMS, r[2 + PREDICTORS :], strict=True):
+                curve[i, j] = curve[j, i] = c
+            weights[:, r.gate] += np.linalg.solve(curve / total + 1e-3 * np.eye(PREDICTORS), slope / total - 1e-3 * (weights[:, r.gate] - FIRST_WEIGHT))
+        if np.abs(weights - before).max() < FIT_MOVE:
+            break
     return weights
 
 
@@ -630,9 +661,11 @@ def _learned(answers: DataFrame, parts: int) -> Model:
     stats = np.array(total[2:], float).reshape(CLASSES, 2)
     trust = np.log(stats[:, 1] + PRIOR) - np.log(stats[:, 0] + PRIOR)
     ends = F.get("stats", F.lit(0)) - F.aggregate("n", F.lit(0).cast("bigint"), lambda a, x: a + x)
-    pairs = _gathered(own.select("spelt", "n", ends.alias("ends")), parts)
-    words = own.select(F.explode(F.arrays_zip("spelt", "n")).alias("w")).select("w.spelt", "w.n").orderBy(F.xxhash64("spelt"), "spelt").limit(FIT_WORDS).collect()
-    first = _first_weights(pairs, [r.spelt for r in words], [r.n for r in words])
+    counts = C.cut(own.select("spelt", "n", ends.alias("ends")))
+    pairs = _gathered(counts, parts)
+    tables = answers.sparkSession.sparkContext.broadcast(pairs)
+    first = _first_weights(counts, tables)
+    tables.destroy()
     odds = np.rint((np.log(pairs[:, :, 1] + PRIOR) - np.log(pairs[:, :, 0] + PRIOR)) / ODDS_UNIT).astype(np.int16)
     return Model(odds, first, trust, int(total[0]), int(total[1]))
 
